@@ -175,7 +175,7 @@ def bucketed_lookback(per_sec: DataFrame, value_cols: list[str]) -> DataFrame:
     return out.filter(F.col("copy") == 0).drop("copy", "pb", "x")
 
 
-def replay_candidates(events: DataFrame, cat: Catalogue) -> DataFrame:
+def replay_candidates(events: DataFrame, cat: Catalogue, matched: DataFrame | None = None) -> DataFrame:
     """W2 + W6: rule state at every second an event of the rule arrives.
 
     Single-condition rules: count of events in [t - W, t] >= threshold.
@@ -183,7 +183,7 @@ def replay_candidates(events: DataFrame, cat: Catalogue) -> DataFrame:
     Output: rule_idx, key, sec, window_secs, window_count.
     """
     k = cat.max_conditions()
-    m = match_events(events, cat)
+    m = matched if matched is not None else match_events(events, cat)
     per_sec = per_second_counts(m, k)
     cols = [f"c{i}" for i in range(k)]
     lb = bucketed_lookback(per_sec, cols)
@@ -269,8 +269,9 @@ def window_event_ids(fires: DataFrame, matched: DataFrame, k: int = 50) -> DataF
 # Alert rows
 # ---------------------------------------------------------------------------
 
-def alert_frame(fires: DataFrame, cat: Catalogue, created_at: Column) -> DataFrame:
-    """Attach rule attributes to fires (rule_idx, key, event_count) -> alert columns."""
+def alert_frame(fires: DataFrame, cat: Catalogue, created_at: Column, keep: tuple = ()) -> DataFrame:
+    """Attach rule attributes to fires (rule_idx, key, event_count) -> alert columns
+    (plus the ``keep`` columns of ``fires`` passed through)."""
     spark = fires.sparkSession
     rules = cat.rules_df(spark).select("rule_idx", "rule_name", "description", "severity",
                                        F.col("n_conds").alias("r_n_conds"))
@@ -293,6 +294,7 @@ def alert_frame(fires: DataFrame, cat: Catalogue, created_at: Column) -> DataFra
         F.when(gb == "src_ip", F.col("key")).alias("src_ip"),
         F.when(gb == "user", F.col("key")).alias("user"),
         F.col("window_secs"),
+        *[F.col(c) for c in keep],
     )
 
 

@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from . import rule_queries  # noqa: F401
+from . import alert_queries  # noqa: F401

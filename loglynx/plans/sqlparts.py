@@ -94,3 +94,62 @@ al AS (SELECT f.rule_idx, d.rule_name, d.severity, d.description AS base, d.grou
 
 def iso(col: str) -> str:
     return f"strftime({col}, '%Y-%m-%dT%H:%M:%S')"
+
+
+def label(col: str) -> str:
+    return (f"CASE WHEN {col} >= 85 THEN 'KNOWN_BAD' WHEN {col} >= 60 THEN 'MALICIOUS' "
+            f"WHEN {col} >= 30 THEN 'SUSPICIOUS' ELSE 'CLEAN' END")
+
+
+DELTA = ("CASE severity WHEN 'CRITICAL' THEN 25 WHEN 'HIGH' THEN 15 WHEN 'MEDIUM' THEN 8 "
+         "WHEN 'LOW' THEN 3 ELSE 5 END")
+
+PRIVATE = ("(regexp_matches({c}, '^(10\\.|172\\.(1[6-9]|2[0-9]|3[01])\\.|192\\.168\\.|127\\.|::1)'))")
+
+
+def is_private(col: str) -> str:
+    return "coalesce(" + PRIVATE.format(c=col) + ", false)"
+
+
+def described_alerts() -> str:
+    """CTEs after ``al``: ald (alerts with prior score, geo text, description) and
+    alc (ald + replay chains).  Needs SQL_GEO and a chains CTE."""
+    return f""",
+alp AS (SELECT al.*,
+          CASE WHEN group_by = 'src_ip' AND src_ip <> '' THEN CAST(LEAST(100, COALESCE(
+            sum(CASE WHEN group_by = 'src_ip' AND src_ip <> '' THEN {DELTA} END)
+              OVER (PARTITION BY src_ip ORDER BY created_at, rule_idx
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS INTEGER) ELSE 0 END AS prior_score
+        FROM al),
+alg AS (SELECT a.*,
+          CASE WHEN a.group_by = 'src_ip' AND a.src_ip <> '' AND NOT {is_private("a.src_ip")}
+               THEN ' [' || coalesce(g.country_code, '??') || ' / ' || coalesce(g.city, 'Unknown') || ' / '
+                    || coalesce(g.org, 'Unknown') || ']' ELSE '' END AS geo_text
+        FROM alp a LEFT JOIN geo g ON g.ip = a.src_ip AND a.created_at - INTERVAL 7 DAY < g.cached_at),
+ald AS (SELECT *,
+          CASE WHEN kind = 'cross_source'
+               THEN '[CROSS-SOURCE] ' || base || ' [src_ip=' || group_value || ']'
+               ELSE base || ' [' || group_by || '=' || group_value || ', count=' || CAST(event_count AS VARCHAR) || ']'
+          END || geo_text ||
+          CASE WHEN prior_score > 0 THEN ' [rep:' || CAST(prior_score AS VARCHAR) || '/' || {label("prior_score")} || ']'
+               ELSE '' END AS description
+        FROM alg),
+chc AS (SELECT c.chain_idx, c.chain_name, c.severity, c.description, c.window_secs, t.group_value AS ip,
+               CAST(epoch(t.created_at) AS BIGINT) AS sec
+        FROM al t JOIN chains c ON t.rule_name = c.trig
+        WHERE t.group_value <> '' AND EXISTS (
+          SELECT 1 FROM al n WHERE n.rule_name = c.then_rule AND n.group_value = t.group_value
+            AND n.created_at BETWEEN t.created_at - to_seconds(c.window_secs) AND t.created_at
+            AND (n.group_by = 'src_ip' OR n.created_at = t.created_at)))""" + greedy(
+        "chc", "chain_idx, ip", "chf") + """,
+alc AS (
+  SELECT rule_idx, rule_name, severity, description, src_ip, "user", group_by, group_value, event_count, kind,
+         created_at, prior_score FROM ald
+  UNION ALL
+  SELECT NULL, chain_name, severity, '[CHAIN] ' || description || ' [src_ip=' || ip || ']', ip, NULL,
+         'src_ip', ip, NULL, 'chain', TIMESTAMP '1970-01-01 00:00:00' + to_seconds(sec), 0 FROM chf)"""
+
+
+def full_head(cat: Catalogue) -> str:
+    """head + geo + chains dims."""
+    return head(cat) + "," + tb.SQL_GEO + f",\nchains AS ({tb.sql_chains_values(cat)})"

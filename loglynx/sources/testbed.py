@@ -246,3 +246,40 @@ def sql_chains_values(cat: Catalogue) -> str:
     rows = ["(" + ", ".join(q(v) for v in r) + ")" for r in cat.chain_rows()]
     return ("SELECT * FROM (VALUES " + ", ".join(rows) + ") AS t(chain_idx, chain_name, trig, then_rule, "
             "severity, window_secs, description)")
+
+
+def geo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geo lookup log derived from orders x customer x nation: one lookup per
+    order for the customer's address (same address rule as the users)."""
+    ensure_session(spark)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    from ..functions.normalize import is_private
+    ip = ip_of(F.col("o_custkey"))
+    return j.select(
+        ip.alias("ip"),
+        F.col("n_name").alias("country"),
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("country_code"),
+        F.col("c_mktsegment").alias("city"),
+        F.concat(F.lit("AS"), (F.col("o_orderkey") % 1000).cast("string")).alias("org"),
+        is_private(ip).alias("is_private"),
+        (F.lit("2024-01-01 00:00:00").cast("timestamp")
+         + F.make_dt_interval(days=(F.col("o_orderkey") % 31).cast("int"))).alias("cached_at"),
+    )
+
+
+SQL_GEO = """
+geo_log AS (
+  SELECT CASE WHEN o.o_custkey % 3 = 0 THEN '198.51.' ELSE '10.1.' END
+           || CAST(o.o_custkey // 250 AS VARCHAR) || '.' || CAST(o.o_custkey % 250 AS VARCHAR) AS ip,
+         n.n_name AS country, 'N' || lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS country_code,
+         c.c_mktsegment AS city, 'AS' || CAST(o.o_orderkey % 1000 AS VARCHAR) AS org,
+         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o.o_orderkey % 31 AS INTEGER)) AS cached_at
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+geo AS (
+  SELECT ip, country, country_code, city, org, cached_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY ip ORDER BY cached_at DESC, org DESC, country DESC,
+                                 country_code DESC, city DESC) AS rn FROM geo_log) WHERE rn = 1)
+"""
