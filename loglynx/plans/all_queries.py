@@ -2,3 +2,4 @@
 
 from . import rule_queries  # noqa: F401
 from . import alert_queries  # noqa: F401
+from . import parse_queries  # noqa: F401
