@@ -83,7 +83,7 @@ def chains_point(fired_now: DataFrame, history: DataFrame | None, cat: Catalogue
     spark = fired_now.sparkSession
     a = F.lit(as_of).cast("timestamp")
     ch = cat.chains_df(spark)
-    now = fired_now.filter(F.col("kind") != "chain")
+    now = fired_now.filter(F.col("kind") != "chain").select("rule_name", "group_value")
     trig = now.join(ch, now["rule_name"] == ch["trigger"]).select(
         "chain_idx", "chain_name", "severity", "description", "window_secs", F.col("group_value").alias("ip"))
     trig = trig.filter(F.col("ip").isNotNull() & (F.col("ip") != ""))

@@ -91,8 +91,9 @@ def parse_auth_rejects(spark, sf_dir):
     """Lines no auth pattern accepts are dropped (rendered junk lines)."""
     lines = RD.auth_lines(spark, sf_dir)
     ev = L.parse_auth(lines, OPTS)
-    return lines.agg(F.count(F.lit(1)).alias("n_lines")).crossJoin(
-        ev.agg(F.count(F.lit(1)).alias("n_events")))
+    both = lines.select(F.lit(1).alias("is_line")).unionByName(ev.select(F.lit(0).alias("is_line")))
+    return both.agg(F.count_if(F.col("is_line") == 1).alias("n_lines"),
+                    F.count_if(F.col("is_line") == 0).alias("n_events"))
 
 
 SYSLOG_TRUTH = B + """,
