@@ -42,17 +42,22 @@ def chain_alert_rows(c: DataFrame, created_at: Column) -> DataFrame:
     )
 
 
-def chain_candidates_replay(alerts: DataFrame, cat: Catalogue) -> DataFrame:
+def chain_candidates_replay(alerts: DataFrame, cat: Catalogue, triggers: DataFrame | None = None) -> DataFrame:
     """Every non-chain alert that triggers a chain whose ``then`` rule alerted
     for the same address within [t - Wc, t] (at t itself any key matches).
+    ``triggers`` (default: ``alerts``) limits which alerts act as triggers.
 
     -> chain_idx, chain_name, severity, description, window_secs, ip, sec."""
     spark = alerts.sparkSession
     ch = cat.chains_df(spark)
-    base = alerts.filter(F.col("kind") != "chain").select(
-        "rule_name", "group_value", "group_by", F.unix_seconds("created_at").alias("sec"))
+
+    def prep(df):
+        return df.filter(F.col("kind") != "chain").select(
+            "rule_name", "group_value", "group_by", F.unix_seconds("created_at").alias("sec"))
+    base = prep(alerts)
+    tbase = base if triggers is None else prep(triggers)
     width = F.greatest(F.col("window_secs"), F.lit(1))
-    trig = base.join(ch, base["rule_name"] == ch["trigger"]).select(
+    trig = tbase.join(ch, tbase["rule_name"] == ch["trigger"]).select(
         "chain_idx", "chain_name", "severity", "description", "window_secs",
         F.col("group_value").alias("ip"), "sec")
     trig = trig.filter(F.col("ip").isNotNull() & (F.col("ip") != "")).withColumn(

@@ -273,11 +273,11 @@ def alert_frame(fires: DataFrame, cat: Catalogue, created_at: Column, keep: tupl
     """Attach rule attributes to fires (rule_idx, key, event_count) -> alert columns
     (plus the ``keep`` columns of ``fires`` passed through)."""
     spark = fires.sparkSession
-    rules = cat.rules_df(spark).select("rule_idx", "rule_name", "description", "severity",
+    rules = cat.rules_df(spark).select("rule_idx", "rule_name", "description", "severity", "window_secs",
                                        F.col("n_conds").alias("r_n_conds"))
     first_gb = spark.createDataFrame(
         [(r[0], r[10]) for r in cat.condition_rows() if r[7] == 0], "rule_idx int, gb0 string")
-    fires = fires.drop("rule_name", "severity", "description", "group_by")
+    fires = fires.drop("rule_name", "severity", "description", "group_by", "window_secs")
     j = fires.join(rules, "rule_idx").join(F.broadcast(first_gb), "rule_idx")
     multi = F.col("r_n_conds") > 1
     gb = F.when(multi, F.lit("src_ip")).otherwise(F.col("gb0"))

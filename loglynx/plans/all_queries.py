@@ -4,3 +4,4 @@ from . import rule_queries  # noqa: F401
 from . import alert_queries  # noqa: F401
 from . import parse_queries  # noqa: F401
 from . import serve_queries  # noqa: F401
+from . import stream_queries  # noqa: F401

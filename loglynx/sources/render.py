@@ -44,7 +44,7 @@ def auth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == "purchase", F.format_string("userdel[%d]: delete user '%s'", i, u))
         .otherwise(F.format_string("cron[%d]: session opened for job %d", i, i))
     )
-    return b.select(F.lit("auth.log").alias("file_path"), F.concat(head, body).alias("value"))
+    return b.select(F.lit("auth.log").alias("file_path"), F.concat(head, body).alias("value"), "ts")
 
 
 def syslog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ def web_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.format_string('%s - %s [%s] "GET /p/%d HTTP/1.1" %d %d "-" "agent/1.0"',
                            F.col("ip"), user, stamp, i, st, 100 + i % 900)
     path = F.when(F.col("user_id") % 2 == 0, F.lit("apache_access.log")).otherwise(F.lit("nginx_access.log"))
-    return b.select(path.alias("file_path"), line.alias("value"))
+    return b.select(path.alias("file_path"), line.alias("value"), "ts")
 
 
 # ---------------------------------------------------------------------------
