@@ -197,42 +197,50 @@ def replay_candidates(events: DataFrame, cat: Catalogue, matched: DataFrame | No
         "rule_idx", "key", "sec", "window_secs", count.alias("window_count"))
 
 
-def _greedy_fires(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Within one island: fire at the first candidate, then at the first
-    candidate strictly later than last fire + W, and so on."""
-    pdf = pdf.sort_values("sec", kind="mergesort")
-    s = pdf["sec"].to_numpy(dtype=np.int64)
-    w = int(pdf["window_secs"].iloc[0])
-    picks, i, n = [], 0, len(s)
-    while i < n:
-        picks.append(i)
-        i = int(np.searchsorted(s, s[i] + w, side="right"))
-    return pdf.iloc[picks]
+def _greedy_fold(key_cols: list[str], window_col: str):
+    """Ordered fold over rows sorted by (key_cols..., sec), streamed batch by batch.
+
+    Within a key: fire at the first candidate, then at the first candidate
+    strictly later than last fire + W, and so on.  The only state carried
+    across Arrow batches is (current key, last fire), so memory is one batch
+    whatever the size of a key."""
+
+    def fold(batches):
+        carry_key, carry_last = None, None
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            sec = pdf["sec"].to_numpy(dtype=np.int64)
+            win = pdf[window_col].to_numpy(dtype=np.int64)
+            keys = list(zip(*[pdf[c].tolist() for c in key_cols]))
+            bounds = [0] + [i for i in range(1, n) if keys[i] != keys[i - 1]] + [n]
+            keep = np.zeros(n, dtype=bool)
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                seg = sec[a:b]
+                last = carry_last if keys[a] == carry_key else None
+                j = 0 if last is None else int(np.searchsorted(seg, last + win[a], side="right"))
+                while j < b - a:
+                    keep[a + j] = True
+                    last = int(seg[j])
+                    j = int(np.searchsorted(seg, last + win[a + j], side="right"))
+                carry_key, carry_last = keys[b - 1], last
+            yield pdf[keep]
+
+    return fold
 
 
 def suppress_refires(cands: DataFrame, key_cols: list[str], window_col: str = "window_secs") -> DataFrame:
     """Greedy suppression of candidates (column ``sec``) per key.
 
-    A candidate more than W after the previous candidate always fires, so
-    the sequence is first cut into islands (a lag over the key's candidate
-    seconds); the greedy walk then runs per island, in parallel, with
-    Arrow-batched pandas.  Candidates are per-second rows, so an island
-    holds at most one row per second of its span.
+    One hash exchange on the key, a sort inside each partition (spills to
+    disk when large) and one ordered fold per partition in Arrow batches —
+    no per-group Python call, no group held in memory.  Candidates are
+    per-second rows, so a key contributes at most one row per second of its
+    history whatever its event volume.
     """
-    w = Window.partitionBy(*key_cols).orderBy("sec")
-    prev = F.lag("sec").over(w)
-    start = F.when(prev.isNull() | (F.col("sec") - prev > F.col(window_col)), 1).otherwise(0)
-    isl = cands.withColumn("_start", start).withColumn(
-        "_island", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_start")
-    schema = isl.schema
-    if window_col != "window_secs":
-        isl = isl.withColumnRenamed(window_col, "window_secs")
-        schema = isl.schema
-    out = isl.groupBy(*key_cols, "_island").applyInPandas(_greedy_fires, schema)
-    out = out.drop("_island")
-    if window_col != "window_secs":
-        out = out.withColumnRenamed("window_secs", window_col)
-    return out
+    ordered = cands.repartition(*key_cols).sortWithinPartitions(*key_cols, "sec")
+    return ordered.mapInPandas(_greedy_fold(key_cols, window_col), cands.schema)
 
 
 def replay_fired(events: DataFrame, cat: Catalogue) -> DataFrame:
