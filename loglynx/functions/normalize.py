@@ -110,7 +110,7 @@ def parse_timestamp(
         sys_ts = F.when(s.rlike(r"^[A-Za-z]{3}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2}$"), sys_ts)
         if ingest_ts is not None:
             sys_ts = F.when(
-                sys_ts > ingest_ts + F.expr("INTERVAL 1 DAY"), F.add_months(sys_ts, -12)
+                sys_ts > ingest_ts + F.expr("INTERVAL 1 DAY"), sys_ts - F.expr("INTERVAL 1 YEAR")
             ).otherwise(sys_ts)
         parts.append(("naive", sys_ts))
     parts.append(("aware", F.try_to_timestamp(s, F.lit("dd/MMM/yyyy:HH:mm:ss Z"))))
