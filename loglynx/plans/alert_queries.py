@@ -28,7 +28,7 @@ def tags_text(col) -> F.Column:
                     F.lit("]"))
 
 
-FULL = S.full_head(CAT) + S.replay_alerts() + S.described_alerts()
+FULL = S.full_head(CAT) + S.replay_alerts(CAT) + S.described_alerts(CAT)
 
 
 @query("alert_description", FULL + f"""
@@ -170,7 +170,7 @@ def alert_table_replay(spark, sf_dir):
                     iso_text("created_at").alias("created_at"), "event_count")
 
 
-@query("alert_window_event_ids", S.head(tb.catalogue()) + S.replay_alerts() + f""",
+@query("alert_window_event_ids", S.head(tb.catalogue()) + S.replay_alerts(tb.catalogue()) + f""",
 wi AS (SELECT f.rule_idx, f.key, f.sec, m.event_id,
               row_number() OVER (PARTITION BY f.rule_idx, f.key, f.sec
                                  ORDER BY m.cond_idx, m.ts DESC, m.event_id DESC) AS rn
@@ -191,3 +191,28 @@ def alert_window_event_ids(spark, sf_dir):
         "rule_name", F.col("key").alias("group_value"),
         iso_text(F.timestamp_seconds("sec")).alias("created_at"), ids_text(F.col("event_ids")).alias("event_ids"))
 
+
+
+FULL_SKEW = S.full_head(CAT, skew=True) + S.replay_alerts(CAT) + S.described_alerts(CAT)
+
+
+@query("skew_alert_table", FULL_SKEW + f"""
+SELECT rule_name, kind, group_value, {S.iso("created_at")} AS created_at, event_count, description FROM alc""")
+def skew_alert_table(spark, sf_dir):
+    """Full replay (suppression, ids, prior score, geo, chains) on a skewed derivation of
+    the events: 90 % of all rows belong to one user, i.e. one hot address and key."""
+    ev = tb.event_view(spark, sf_dir, skew=True)
+    geo = G.geo_latest(tb.geo_log(spark, sf_dir))
+    a = correlate_replay(ev, CAT, geo, with_event_ids=True, with_chains=True)
+    return a.select("rule_name", "kind", "group_value", iso_text("created_at").alias("created_at"),
+                    "event_count", "description")
+
+
+@query("skew_reputation", FULL_SKEW + f""",
+feed AS (SELECT src_ip AS ip, {S.DELTA} AS delta FROM al WHERE group_by = 'src_ip' AND src_ip <> '')
+SELECT ip, CAST(LEAST(100, sum(delta)) AS INTEGER) AS score, count(*) AS alert_count FROM feed GROUP BY ip""")
+def skew_reputation(spark, sf_dir):
+    """Reputation on the skewed derivation (the hot address holds most alerts)."""
+    ev = tb.event_view(spark, sf_dir, skew=True)
+    a = correlate_replay(ev, CAT, None, with_event_ids=False, with_chains=False)
+    return R.reputation_table(a, CAT.tags).select("ip", "score", "alert_count")

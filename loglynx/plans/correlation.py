@@ -19,6 +19,7 @@ from ..operators import chain as CH
 from ..operators import correlate as C
 from ..operators import geo as G
 from ..operators import reputation as R
+from ..session import materialize
 from ..sources.catalogue import Catalogue
 
 EVENT_IDS_PER_ALERT = 50
@@ -51,10 +52,16 @@ ALERT_OUT = ["alert_id", "created_at", "rule_name", "severity", "description", "
 
 
 def correlate_replay(events: DataFrame, cat: Catalogue, geo: DataFrame | None = None,
-                     with_event_ids: bool = True, with_chains: bool = True) -> DataFrame:
-    """Replay every rule over the whole event history -> alert table (incl. chains)."""
+                     with_event_ids: bool = True, with_chains: bool = True,
+                     checkpoint: bool = True) -> DataFrame:
+    """Replay every rule over the whole event history -> alert table (incl. chains).
+
+    ``checkpoint``: the fired set feeds several branches (ids, prior score,
+    chains); it is computed once and read back from the checkpoint folder."""
     m = C.match_events(events, cat)
     fired = C.suppress_refires(C.replay_candidates(events, cat, matched=m), ["rule_idx", "key"])
+    if checkpoint:
+        fired = materialize(fired)
     fired = fired.withColumnRenamed("window_count", "event_count")
     keep = ()
     if with_event_ids:

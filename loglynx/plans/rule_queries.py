@@ -84,7 +84,7 @@ def alert_event_ids_top50(spark, sf_dir):
         ids_text(F.col("event_ids")).alias("event_ids"))
 
 
-@query("rule_replay_candidates", S.head(ERROR_REPLAY) + S.replay_cands() + f"""
+@query("rule_replay_candidates", S.head(ERROR_REPLAY) + S.replay_cands(ERROR_REPLAY) + f"""
 SELECT r.rule_name, rc.key AS group_value, {S.iso("TIMESTAMP '1970-01-01 00:00:00' + to_seconds(rc.sec)")} AS at,
        rc.window_count
 FROM rc JOIN rdim r USING (rule_idx)""")
@@ -99,7 +99,7 @@ def rule_replay_candidates(spark, sf_dir):
 
 
 def _fired_sql(cat):
-    return S.head(cat) + S.replay_alerts() + f"""
+    return S.head(cat) + S.replay_alerts(cat) + f"""
 SELECT rule_name, kind, group_by, group_value, {S.iso("created_at")} AS created_at, event_count FROM al"""
 
 
@@ -123,7 +123,7 @@ def replay_all_rules_fired(spark, sf_dir):
     return _fired(spark, sf_dir, CAT)
 
 
-@query("cross_source_replay", S.head(CROSS_ONLY) + S.replay_cands() + f"""
+@query("cross_source_replay", S.head(CROSS_ONLY) + S.replay_cands(CROSS_ONLY) + f"""
 SELECT r.rule_name, rc.key AS group_value, {S.iso("TIMESTAMP '1970-01-01 00:00:00' + to_seconds(rc.sec)")} AS at,
        rc.window_count
 FROM rc JOIN rdim r USING (rule_idx)""")
@@ -137,7 +137,7 @@ def cross_source_replay(spark, sf_dir):
         iso_text(F.timestamp_seconds("sec")).alias("at"), "window_count")
 
 
-@query("dedup_against_history", S.head(CAT) + S.point_cands() + S.replay_alerts() + """,
+@query("dedup_against_history", S.head(CAT) + S.point_cands() + S.replay_alerts(CAT) + """,
 hist AS (SELECT rule_name, group_value, created_at FROM al WHERE created_at < TIMESTAMP '2024-01-30 00:00:00')
 SELECT pc.rule_name, pc.group_by, pc.key AS group_value, pc.event_count FROM pc
 WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.rule_name = pc.rule_name AND h.group_value = pc.key

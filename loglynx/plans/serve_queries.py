@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import geo as G
 from ..operators import notify as NT
 from ..schema import iso_text
+from ..session import materialize
 from ..sources import testbed as tb
 from . import serve as SV
 from . import sqlparts as S
@@ -149,9 +150,11 @@ HIST_CUT = "2024-01-30 00:00:00"
 
 
 def point_run(spark, sf_dir):
+    """History = the replayed alert table before HIST_CUT, materialised once (it is
+    read three times: dedup, prior reputation, chains) as a stored table would be."""
     ev = tb.event_view(spark, sf_dir)
-    hist = replay_alert_table(spark, sf_dir, with_chains=True).filter(
-        F.col("created_at") < F.lit(HIST_CUT).cast("timestamp"))
+    hist = materialize(replay_alert_table(spark, sf_dir, with_chains=True).filter(
+        F.col("created_at") < F.lit(HIST_CUT).cast("timestamp")))
     geo = G.geo_latest(tb.geo_log(spark, sf_dir))
     return correlate_point(ev, CAT, tb.AS_OF, history=hist, geo=geo)
 

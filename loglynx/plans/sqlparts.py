@@ -12,9 +12,9 @@ from ..sources.catalogue import Catalogue
 AS_OF = f"TIMESTAMP '{tb.AS_OF}'"
 
 
-def head(cat: Catalogue) -> str:
+def head(cat: Catalogue, skew: bool = False) -> str:
     """WITH-prefix: event view, rule conditions and matched events (m)."""
-    return f"""WITH {tb.SQL_EVENT_VIEW},
+    return f"""WITH {tb.SQL_EVENT_VIEW_SKEW if skew else tb.SQL_EVENT_VIEW},
 rules AS ({tb.sql_rules_values(cat)}),
 m AS (
   SELECT r.rule_idx, r.rule_name, r.description, r.severity, r.window_secs, r.threshold, r.n_conds,
@@ -40,33 +40,41 @@ pc AS (SELECT g.rule_idx, g.rule_name, g.window_secs, g.key, g.event_count, d.gr
        WHERE (g.n_conds = 1 AND g.event_count >= g.threshold) OR (g.n_conds > 1 AND g.nc = g.n_conds))"""
 
 
-def replay_cands() -> str:
-    """CTEs ps (per-second counts), rc (replay candidates: rule_idx, key, sec, window_secs, window_count)."""
-    return """,
+def _windows(cat: Catalogue) -> list[int]:
+    return sorted({int(r[4]) for r in cat.condition_rows()})
+
+
+def replay_cands(cat: Catalogue) -> str:
+    """CTEs ps (per-second counts), rc (replay candidates: rule_idx, key, sec, window_secs, window_count).
+    One RANGE-frame window per distinct look-back length of the catalogue."""
+    frames = []
+    for w in _windows(cat):
+        spec = f"OVER (PARTITION BY rule_idx, key ORDER BY sec RANGE BETWEEN {w} PRECEDING AND CURRENT ROW)"
+        frames.append(f"SELECT rule_idx, n_conds, threshold, window_secs, key, sec, sum(c0) {spec} AS w0, "
+                      f"sum(c1) {spec} AS w1 FROM ps WHERE window_secs = {w}")
+    return f""",
 ps AS (SELECT rule_idx, n_conds, threshold, window_secs, key, CAST(epoch(ts) AS BIGINT) AS sec,
               sum(CASE WHEN cond_idx = 0 THEN 1 ELSE 0 END) AS c0,
               sum(CASE WHEN cond_idx = 1 THEN 1 ELSE 0 END) AS c1
        FROM m GROUP BY ALL),
-lb AS (SELECT p.rule_idx, p.n_conds, p.threshold, p.window_secs, p.key, p.sec,
-              sum(q.c0) AS w0, sum(q.c1) AS w1
-       FROM ps p JOIN ps q ON q.rule_idx = p.rule_idx AND q.key = p.key
-                          AND q.sec BETWEEN p.sec - p.window_secs AND p.sec
-       GROUP BY ALL),
+lb AS ({" UNION ALL ".join(frames)}),
 rc AS (SELECT rule_idx, key, sec, window_secs,
               CAST(CASE WHEN n_conds > 1 THEN w0 + w1 ELSE w0 END AS BIGINT) AS window_count
        FROM lb WHERE (n_conds = 1 AND w0 >= threshold) OR (n_conds > 1 AND w0 >= 1 AND w1 >= 1))"""
 
 
-def greedy(src: str, keys: str, out: str, win: str = "window_secs") -> str:
-    """CTEs <out>: greedy re-fire suppression of rows of <src> (keys..., sec, <win>)."""
+def greedy(src: str, keys: str, out: str, windows: list[int], win: str = "window_secs") -> str:
+    """CTEs <out>: greedy re-fire suppression of rows of <src> (keys..., sec, <win>).
+    next(c) = first candidate > c + W (a RANGE frame per distinct W), then a
+    recursive walk from each key's first candidate along next()."""
     k = [x.strip() for x in keys.split(",")]
-    on = " AND ".join(f"c2.{x} = c.{x}" for x in k)
     on2 = " AND ".join(f"n.{x} = f.{x}" for x in k)
-    sel = ", ".join(f"c.{x}" for x in k)
+    nx = " UNION ALL ".join(
+        f"SELECT {keys}, sec, min(sec) OVER (PARTITION BY {keys} ORDER BY sec "
+        f"RANGE BETWEEN {w + 1} FOLLOWING AND UNBOUNDED FOLLOWING) AS next_sec FROM {src} WHERE {win} = {w}"
+        for w in windows)
     return f""",
-{out}_nx AS (SELECT {sel}, c.sec, min(c2.sec) AS next_sec
-        FROM {src} c LEFT JOIN {src} c2 ON {on} AND c2.sec > c.sec + c.{win}
-        GROUP BY ALL),
+{out}_nx AS ({nx}),
 {out}_f AS (SELECT {keys}, min(sec) AS sec FROM {src} GROUP BY {keys}),
 {out}_r({keys}, sec) AS (
   WITH RECURSIVE walk({keys}, sec) AS (
@@ -78,10 +86,10 @@ def greedy(src: str, keys: str, out: str, win: str = "window_secs") -> str:
 {out} AS (SELECT c.* FROM {src} c JOIN {out}_r r USING ({keys}, sec))"""
 
 
-def replay_alerts() -> str:
+def replay_alerts(cat: Catalogue) -> str:
     """CTE al: replay-mode alerts (rule_idx, rule_name, severity, base, group_by, group_value,
     event_count, kind, created_at, src_ip, user, window_secs, tag)."""
-    return replay_cands() + greedy("rc", "rule_idx, key", "rf") + """,
+    return replay_cands(cat) + greedy("rc", "rule_idx, key", "rf", _windows(cat)) + """,
 al AS (SELECT f.rule_idx, d.rule_name, d.severity, d.description AS base, d.group_by, f.key AS group_value,
               f.window_count AS event_count,
               CASE WHEN d.n_conds > 1 THEN 'cross_source' ELSE 'single' END AS kind,
@@ -111,7 +119,7 @@ def is_private(col: str) -> str:
     return "coalesce(" + PRIVATE.format(c=col) + ", false)"
 
 
-def described_alerts() -> str:
+def described_alerts(cat: Catalogue) -> str:
     """CTEs after ``al``: ald (alerts with prior score, geo text, description) and
     alc (ald + replay chains).  Needs SQL_GEO and a chains CTE."""
     return f""",
@@ -141,7 +149,7 @@ chc AS (SELECT c.chain_idx, c.chain_name, c.severity, c.description, c.window_se
           SELECT 1 FROM al n WHERE n.rule_name = c.then_rule AND n.group_value = t.group_value
             AND n.created_at BETWEEN t.created_at - to_seconds(c.window_secs) AND t.created_at
             AND (n.group_by = 'src_ip' OR n.created_at = t.created_at)))""" + greedy(
-        "chc", "chain_idx, ip", "chf") + """,
+        "chc", "chain_idx, ip", "chf", sorted({int(r[5]) for r in cat.chain_rows()}) or [0]) + """,
 alc AS (
   SELECT rule_idx, rule_name, severity, description, src_ip, "user", group_by, group_value, event_count, kind,
          created_at, prior_score FROM ald
@@ -150,6 +158,6 @@ alc AS (
          'src_ip', ip, NULL, 'chain', TIMESTAMP '1970-01-01 00:00:00' + to_seconds(sec), 0 FROM chf)"""
 
 
-def full_head(cat: Catalogue) -> str:
+def full_head(cat: Catalogue, skew: bool = False) -> str:
     """head + geo + chains dims."""
-    return head(cat) + "," + tb.SQL_GEO + f",\nchains AS ({tb.sql_chains_values(cat)})"
+    return head(cat, skew) + "," + tb.SQL_GEO + f",\nchains AS ({tb.sql_chains_values(cat)})"

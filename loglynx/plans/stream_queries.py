@@ -131,7 +131,7 @@ def _alert_tables(spark, sf_dir):
     return f"{work}/tables"
 
 
-_AUTH_FULL = S.full_head(AUTH_CAT) + S.replay_alerts() + S.described_alerts()
+_AUTH_FULL = S.full_head(AUTH_CAT) + S.replay_alerts(AUTH_CAT) + S.described_alerts(AUTH_CAT)
 
 
 @query("stream_chain_alerts", _AUTH_FULL + f"""

@@ -69,3 +69,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the shared
+    checkpoint folder (survives executor loss; later branches read the files
+    instead of recomputing the plan)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -122,10 +122,17 @@ def status_of(value: Column) -> Column:
             .when(value < 60, 404).otherwise(500))
 
 
-def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events with second-resolution UTC ``ts`` and the derived host columns."""
+HOT_SHARE_MOD = 10  # skewed variant: every row with event_id % 10 <> 0 belongs to user 0 (90 %)
+
+
+def base_rows(spark: SparkSession, sf_dir: str, skew: bool = False) -> DataFrame:
+    """events with second-resolution UTC ``ts`` and the derived host columns.
+    ``skew``: 90 % of all rows are moved to one user (one hot address / key)."""
     ensure_session(spark)
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    if skew:
+        e = e.withColumn("user_id", F.when(F.col("event_id") % HOT_SHARE_MOD != 0, F.lit(0).cast("bigint"))
+                         .otherwise(F.col("user_id")))
     uid = F.col("user_id")
     return e.select(
         "event_id",
@@ -139,13 +146,14 @@ def base_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_view(spark: SparkSession, sf_dir: str, scan_threshold: int = SCAN_THRESHOLD) -> DataFrame:
+def event_view(spark: SparkSession, sf_dir: str, scan_threshold: int = SCAN_THRESHOLD,
+               skew: bool = False) -> DataFrame:
     """Normalised events of the test bed (ground truth of the parsers).
 
     Columns: event_id, ts, source, event_type, severity, message, src_ip,
     dst_ip, user, raw, extra, file_path.
     """
-    b = base_rows(spark, sf_dir)
+    b = base_rows(spark, sf_dir, skew)
     k, uid, ip, st = F.col("kind"), F.col("user_id"), F.col("ip"), F.col("status")
     web_src = F.when(uid % 2 == 0, "apache").otherwise("nginx")
     source = (F.when(k.isin("error", "view"), "auth_log").when(k == "click", web_src)
@@ -180,7 +188,7 @@ def event_view(spark: SparkSession, sf_dir: str, scan_threshold: int = SCAN_THRE
     return rest.unionByName(web).drop("status")
 
 
-SQL_EVENT_VIEW = f"""
+SQL_EVENT_VIEW_T = f"""
 b AS (
   SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type AS kind, value,
          CASE WHEN user_id % 3 = 0 THEN '198.51.' ELSE '10.1.' END
@@ -188,7 +196,7 @@ b AS (
          'u' || CAST(user_id AS VARCHAR) AS uname,
          CASE WHEN value < 10 THEN 200 WHEN value < 20 THEN 301 WHEN value < 30 THEN 401
               WHEN value < 60 THEN 404 ELSE 500 END AS status
-  FROM events),
+  FROM {{events}}),
 ev0 AS (
   SELECT event_id, ts, kind, status, user_id,
     CASE WHEN kind IN ('error','view') THEN 'auth_log'
@@ -222,6 +230,10 @@ ev AS (
     e.src_ip, e."user"
   FROM ev0 e LEFT JOIN scanners s ON e.source = s.source AND e.src_ip = s.src_ip AND e.kind = 'click')
 """
+SQL_EVENT_VIEW = SQL_EVENT_VIEW_T.replace("{events}", "events")
+SQL_EVENT_VIEW_SKEW = SQL_EVENT_VIEW_T.replace(
+    "{events}", f"(SELECT event_id, ts, CASE WHEN event_id % {HOT_SHARE_MOD} <> 0 THEN CAST(0 AS BIGINT) "
+                "ELSE user_id END AS user_id, event_type, value FROM events)")
 
 
 def sql_rules_values(cat: Catalogue) -> str:
