@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..operators import sequences as SQ
 from ..schema import iso_text, severity_level
 from ..sources import logs as L
 from ..sources import render as RD
@@ -259,14 +259,9 @@ FROM n WHERE NOT ok""")
 def auth_severity_consecutive(spark, sf_dir):
     """Failed-login severity by the run of failures since the address's last successful login."""
     b = tb.base_rows(spark, sf_dir).filter(F.col("kind").isin("error", "signup"))
-    a = b.select("event_id", "ts", "ip", (F.col("kind") == "signup").alias("ok"))
-    w = Window.partitionBy("ip").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    a = a.withColumn("grp", F.sum(F.col("ok").cast("int")).over(w))
-    w2 = Window.partitionBy("ip", "grp").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    a = a.withColumn("consecutive", F.sum((~F.col("ok")).cast("int")).over(w2).cast("bigint"))
-    return a.filter(~F.col("ok")).select(
-        "event_id", F.col("ip").alias("src_ip"), "consecutive",
-        N.auth_severity(F.lit("auth_failure"), F.col("consecutive")).alias("severity"))
+    ev = b.select("event_id", "ts", F.col("ip").alias("src_ip"),
+                  F.when(F.col("kind") == "signup", "auth_success").otherwise("auth_failure").alias("event_type"))
+    return SQ.consecutive_failures(ev).select("event_id", "src_ip", "consecutive", "severity")
 
 
 def all_parsed(spark, sf_dir):
