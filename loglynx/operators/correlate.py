@@ -84,11 +84,19 @@ def in_window(matched: DataFrame, as_of, open_ended: bool = False) -> DataFrame:
 
 
 def prefilter_events(events: DataFrame, cat: Catalogue, as_of, open_ended: bool = False) -> DataFrame:
-    """Scan-level predicates: the widest window and the rule event types (pushed to parquet)."""
+    """Scan-level predicates: the widest window (pushed to parquet as a ts range,
+    and as an ``event_date`` range for partition pruning when the table is
+    partitioned by date, as the event sink writes it)."""
     a = _ts(as_of)
-    cond = F.col("ts") >= a - F.expr(f"INTERVAL {int(cat.max_window())} SECONDS")
+    lo = a - F.expr(f"INTERVAL {int(cat.max_window())} SECONDS")
+    cond = F.col("ts") >= lo
     if not open_ended:
         cond = cond & (F.col("ts") <= a)
+    if "event_date" in events.columns:
+        dcond = F.col("event_date") >= F.to_date(lo)
+        if not open_ended:
+            dcond = dcond & (F.col("event_date") <= F.to_date(a))
+        cond = cond & dcond
     return events.filter(cond)
 
 

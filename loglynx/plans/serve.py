@@ -22,6 +22,8 @@ def events_query(events: DataFrame, since=None, source: str | None = None, event
     preds = []
     if since:
         preds.append(F.col("ts") >= F.lit(since).cast("timestamp"))
+        if "event_date" in events.columns:  # partition pruning on date-partitioned tables
+            preds.append(F.col("event_date") >= F.to_date(F.lit(since).cast("timestamp")))
     if source:
         preds.append(F.col("source") == source)
     if event_type:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import geo as G
 from ..operators import notify as NT
 from ..schema import iso_text
-from ..session import materialize
+from ..session import materialize, work_dir
+from ..sinks import tables as TB
 from ..sources import testbed as tb
 from . import serve as SV
 from . import sqlparts as S
@@ -45,6 +46,21 @@ def events_filtered_latest(spark, sf_dir):
     return q.select("event_id", iso_text("ts").alias("ts"), "source", "event_type", "src_ip", "message")
 
 
+@query("stored_events_latest", f"WITH {tb.SQL_EVENT_VIEW}" + f"""
+SELECT event_id, {S.iso("ts")} AS ts, source, event_type, src_ip, message FROM ev
+WHERE ts >= TIMESTAMP '2024-01-20 00:00:00' AND source = 'auth_log' AND event_type = 'auth_failure'
+ORDER BY ts DESC, event_id DESC LIMIT 100""")
+def stored_events_latest(spark, sf_dir):
+    """The event list served from a stored event table: events appended through the
+    event sink (date partitions), read back with partition pruning and pushed filters."""
+    path = work_dir(spark, "events-table")
+    TB.append_events(tb.event_view(spark, sf_dir), path)
+    stored = TB.read_events(spark, path)
+    q = SV.events_query(stored, since="2024-01-20 00:00:00", source="auth_log", event_type="auth_failure",
+                        limit=100)
+    return q.select("event_id", iso_text("ts").alias("ts"), "source", "event_type", "src_ip", "message")
+
+
 @query("count_events_since", f"WITH {tb.SQL_EVENT_VIEW}" + """
 SELECT src_ip, count(*) AS n_events FROM ev
 WHERE event_type = 'auth_failure' AND ts >= TIMESTAMP '2024-01-24 00:00:00' GROUP BY src_ip""")

@@ -82,3 +82,19 @@ def test_sliding_counts_and_web_windows(spark):
     q.awaitTermination()
     out = spark.read.parquet(f"{work}/out").groupBy("key", "window_start").agg(F.max("n").alias("n"))
     assert out.count() > 0 and out.agg(F.min("n")).first()[0] >= 3
+
+
+def test_multi_source_stream(spark):
+    work = work_dir(spark, "t-multi")
+    os.makedirs(f"{work}/auth")
+    os.makedirs(f"{work}/nginx")
+    with open(f"{work}/auth/a.log", "w") as f:
+        f.write(_line(datetime(2026, 3, 4, 9), "1.2.3.4") + "\n")
+    with open(f"{work}/nginx/n.log", "w") as f:
+        f.write('5.6.7.8 - - [04/Mar/2026:09:00:00 +0000] "GET / HTTP/1.1" 404 1 "-" "x"\n')
+    ev = SR.stream_events(spark, {"auth": f"{work}/auth", "nginx": f"{work}/nginx"}, OPTS)
+    q = (ev.writeStream.format("memory").queryName("multi_t").option("checkpointLocation", f"{work}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.source, r.event_type) for r in spark.sql("select * from multi_t").collect())
+    assert got == [("auth_log", "auth_failure"), ("nginx", "web_error")]
