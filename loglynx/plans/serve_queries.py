@@ -257,3 +257,12 @@ def flagship_alert_reputation(spark, sf_dir):
     from ..functions.normalize import score_label
     return j.select("rule_name", "kind", "severity", "group_value", iso_text("created_at").alias("created_at"),
                     "event_count", score.alias("ip_score"), score_label(score).alias("ip_label"))
+
+
+@query("chain_same_run", POINT_RUN_SQL + """
+SELECT rule_name, group_value, description FROM prun WHERE kind = 'chain'""")
+def chain_same_run(spark, sf_dir):
+    """Chains of one evaluation run: triggers fired in this run, 'then' fired in this run
+    or in the history window, minus chains already raised for the address in the window."""
+    a = point_run(spark, sf_dir)
+    return a.filter(F.col("kind") == "chain").select("rule_name", "group_value", "description")

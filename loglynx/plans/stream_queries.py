@@ -157,3 +157,31 @@ def stream_reputation(spark, sf_dir):
     rep = SS.latest_reputation(spark, t)
     return rep.select("ip", "score", "label", "alert_count", iso_text("first_seen").alias("first_seen"),
                       iso_text("last_seen").alias("last_seen"))
+
+
+@query("stream_ingest_parse", f"WITH {tb.SQL_EVENT_VIEW}" + """
+SELECT 'auth_log' AS source, count(*) AS n_events FROM b WHERE kind <> 'click'
+UNION ALL SELECT 'syslog', count(*) FROM b
+UNION ALL SELECT 'apache', count(*) FROM b WHERE kind = 'click' AND user_id % 2 = 0
+UNION ALL SELECT 'nginx', count(*) FROM b WHERE kind = 'click' AND user_id % 2 = 1
+UNION ALL SELECT 'suricata', count(*) FROM b WHERE kind = 'purchase'
+UNION ALL SELECT 'netwatch', count(*) FROM b WHERE kind = 'purchase'
+UNION ALL SELECT 'homeguard', count(*) FROM b WHERE kind = 'signup'""")
+def stream_ingest_parse(spark, sf_dir):
+    """All seven sources as file streams (one folder per kind, four time-ordered chunks),
+    parsed by the batch parsers and unioned into one event stream; rows per source."""
+    web = RD.web_lines(spark, sf_dir)
+    sources = {
+        "auth": RD.auth_lines(spark, sf_dir), "syslog": RD.syslog_lines(spark, sf_dir),
+        "apache": web.filter(F.col("file_path") == "apache_access.log"),
+        "nginx": web.filter(F.col("file_path") == "nginx_access.log"),
+        "suricata": RD.ids_lines(spark, sf_dir), "netwatch": RD.netwatch_lines(spark, sf_dir),
+        "homeguard": RD.homeguard_lines(spark, sf_dir),
+    }
+
+    def build(dirs):
+        return SR.stream_events(spark, dirs, OPTS).select("event_id", "ts", "source", "event_type")
+    work = RN.run_chunks_multi(spark, sources, lambda df: chunk_of(F.col("ts")), N_CHUNKS, build,
+                               RN.parquet_sink, "stream-ingest")
+    ev = spark.read.parquet(f"{work}/out")
+    return ev.groupBy("source").agg(F.count(F.lit(1)).alias("n_events"))

@@ -67,7 +67,7 @@ def syslog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.format_string("pam_unix(sshd:auth)[%d]: authentication failure; logname= uid=0 euid=0 "
                                    "tty=ssh ruser= rhost=%s user=%s", i, ip, u))
     )
-    return b.select(F.lit("syslog").alias("file_path"), F.concat(head, body).alias("value"))
+    return b.select(F.lit("syslog").alias("file_path"), F.concat(head, body).alias("value"), "ts")
 
 
 def web_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ def ids_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.lit("10.0.0.1").alias("dest_ip"), F.lit(22).alias("dest_port"), F.lit("TCP").alias("proto"),
                    F.when(F.col("kind") == "purchase", alert).alias("alert"))
     line = F.when(F.col("kind") == "view", F.concat(F.lit("{not json "), i.cast("string"))).otherwise(F.to_json(rec))
-    return b.select(F.lit("eve.json").alias("file_path"), line.alias("value"))
+    return b.select(F.lit("eve.json").alias("file_path"), line.alias("value"), "ts")
 
 
 def netwatch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +134,7 @@ def netwatch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ip").alias("src_ip"),
         F.when(i % 2 == 0, F.format_string("scan from %s", F.col("ip"))).alias("details"),
     )
-    return b.select(F.lit("netwatch.json").alias("file_path"), F.to_json(rec).alias("value"))
+    return b.select(F.lit("netwatch.json").alias("file_path"), F.to_json(rec).alias("value"), "ts")
 
 
 def homeguard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def homeguard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 2 == 0, F.lit("Acme")).alias("vendor"),
         F.lit("UNKNOWN_DEVICE").alias("alert"),
     )
-    return b.select(F.lit("homeguard.json").alias("file_path"), F.to_json(rec).alias("value"))
+    return b.select(F.lit("homeguard.json").alias("file_path"), F.to_json(rec).alias("value"), "ts")
 
 
 TS_FORMATS = 6

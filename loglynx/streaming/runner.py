@@ -54,3 +54,19 @@ def batch_sink(fn: Callable, mode: str = "update"):
                 .option("checkpointLocation", f"{work}/ckpt").outputMode(mode)
                 .trigger(availableNow=True).start())
     return start
+
+
+def run_chunks_multi(spark: SparkSession, sources: dict, chunk: Callable[[DataFrame], Column], n_chunks: int,
+                     build: Callable[[dict], DataFrame], sink: Callable, name: str) -> str:
+    """Like ``run_chunks`` for several source kinds, each with its own input folder
+    (``<work>/input/<kind>/cNNN``); ``build`` gets ``{kind: folder glob}``."""
+    work = work_dir(spark, name)
+    keyed = {k: df.withColumn("_chunk", chunk(df)) for k, df in sources.items()}
+    for i in range(n_chunks):
+        for k, df in keyed.items():
+            write_chunk(df.filter(F.col("_chunk") == i), f"{work}/input/{k}/c{i:03d}")
+        q = sink(build({k: f"{work}/input/{k}/*" for k in sources}), work)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return work
