@@ -31,6 +31,32 @@ def get_spark(master: str | None = None, app_name: str = "loglynx") -> SparkSess
     return spark
 
 
+def cluster_settings(total_input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:
+    """Suggested settings for a large cluster run (pass to spark-submit --conf).
+
+    Shuffle partitions start at ~1 per 200 MB of input (AQE coalesces small
+    ones and splits skewed ones at run time); file splits of 512 MB keep the
+    scan task count manageable; RocksDB keeps streaming state off-heap and
+    spills it to disk.
+    """
+    cores = executor_cores * executors
+    parts = max(cores * 2, total_input_bytes // (200 * 1024 * 1024))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.ui.enabled": "false",
+    }
+
+
 def ensure_session(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on.
 
