@@ -63,7 +63,7 @@ def parse_auth_success(spark, sf_dir):
 
 
 @query("parse_sudo", AUTH_TRUTH + f"""
-SELECT event_type, 'MEDIUM' AS severity, {S.iso("ts")} AS ts, uname AS "user", NULL AS src_ip,
+SELECT event_type, 'MEDIUM' AS severity, {S.iso("ts")} AS ts, uname AS "user", CAST(NULL AS VARCHAR) AS src_ip,
        'User ''' || uname || ''' ran sudo command: /usr/bin/id -u' AS message,
        '{{"command":"/usr/bin/id -u"}}' AS extra
 FROM au WHERE event_type = 'sudo_command'""")
@@ -111,7 +111,7 @@ SELECT
        ELSE 'system_error' END AS event_type,
   CASE WHEN r = 0 THEN 'LOW' WHEN r = 1 THEN 'LOW' WHEN r = 2 THEN 'HIGH' WHEN r = 3 THEN 'HIGH'
        WHEN r = 4 AND event_id % 12 = 4 THEN 'MEDIUM' WHEN r = 4 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
-  {S.iso("ts")} AS ts, NULL AS "user",
+  {S.iso("ts")} AS ts, CAST(NULL AS VARCHAR) AS "user",
   CASE WHEN r = 0 THEN 'Service started: ' || svc
        WHEN r = 1 THEN 'Service ' || lower(stop_word) || ': ' || svc
        WHEN r = 2 THEN 'Service failed to start: ' || svc
@@ -253,7 +253,7 @@ g AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY ip ORDER
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM a),
 n AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY ip, grp ORDER BY ts, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS consecutive FROM g)
-SELECT event_id, ip AS src_ip, consecutive,
+SELECT event_id, ip AS src_ip, CAST(consecutive AS BIGINT) AS consecutive,
        CASE WHEN consecutive >= 10 THEN 'HIGH' WHEN consecutive >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS severity
 FROM n WHERE NOT ok""")
 def auth_severity_consecutive(spark, sf_dir):
