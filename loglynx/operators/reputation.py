@@ -6,11 +6,12 @@ rebuilt or merged incrementally (see ``sinks.tables.merge_reputation``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.normalize import map_lookup, score_label
+from .scans import running
 
 # ---------------------------------------------------------------------------
 # Score added per alert severity (anything else adds 5), and
@@ -85,15 +86,14 @@ def prior_scores(alerts: DataFrame, tags: dict) -> DataFrame:
     """The address score just before each alert (alerts ordered by
     created_at, then catalogue order).  -> ip, created_at, rule_idx, prior_score.
 
-    One window per address over its alerts; alerts are already suppressed
-    (at most one per rule and key per window), so a partition is bounded by
-    rules x time span / W, not by event volume.
+    A running sum per address, split by day (``scans.running``), so a busy
+    address is spread over one task per day of its history.
     """
     feed = reputation_feed(alerts, tags)
-    w = Window.partitionBy("ip").orderBy("created_at", "rule_idx").rowsBetween(Window.unboundedPreceding, -1)
-    return feed.select("ip", "created_at", "rule_idx",
-                       F.least(F.lit(MAX_SCORE), F.coalesce(F.sum("delta").over(w), F.lit(0)))
-                       .cast("int").alias("prior_score"))
+    r = running(feed, ["ip"], "created_at", ["created_at", "rule_idx"], F.col("delta"), "_p", "sum",
+                inclusive=False, bucket_secs=86400)
+    return r.select("ip", "created_at", "rule_idx",
+                    F.least(F.lit(MAX_SCORE), F.col("_p")).cast("int").alias("prior_score"))
 
 
 def reputation_lookup(ips: DataFrame, rep: DataFrame, ip_col: str = "ip") -> DataFrame:

@@ -1,27 +1,33 @@
 """Per-key event sequences (W4): run length of failures since the last success.
 
-Two window passes per key (island id = running count of successes, then a
-running count of failures inside the island).  Each key is one ordered
-partition; the windows stream rows in order and spill, nothing is collected.
+Time-bucketed running scans (see ``scans.running``): no window holds more
+than one time bucket of one key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import auth_severity
+from .scans import running
 
 
 def consecutive_failures(events: DataFrame, key: str = "src_ip", failure: str = "auth_failure",
-                         success: str = "auth_success") -> DataFrame:
+                         success: str = "auth_success", bucket_secs: int = 3600) -> DataFrame:
     """Failure rows with ``consecutive`` (failures since the key's last success,
-    this one included) and the auth severity that count implies."""
+    this one included) and the auth severity that count implies.
+
+    consecutive(t) = F(t) - F(last success before t), where F is the running
+    failure count; F is a running sum and F(last success) a running max of F
+    over success rows — both time-bucketed scans (``scans.running``), so a
+    hot key is split over many tasks."""
     ev = events.filter(F.col("event_type").isin(failure, success) & F.col(key).isNotNull())
-    ok = (F.col("event_type") == success).cast("int")
-    w = Window.partitionBy(key).orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    ev = ev.withColumn("_grp", F.sum(ok).over(w))
-    w2 = Window.partitionBy(key, "_grp").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    ev = ev.withColumn("consecutive", F.sum(1 - ok).over(w2).cast("bigint"))
-    return ev.filter(F.col("event_type") == failure).drop("_grp").withColumn(
+    fail = (F.col("event_type") == failure).cast("bigint")
+    order = ["ts", "event_id"]
+    ev = running(ev, [key], "ts", order, fail, "_f", "sum", True, bucket_secs)
+    ev = running(ev, [key], "ts", order, F.when(F.col("event_type") == success, F.col("_f")), "_m", "max",
+                 False, bucket_secs, empty=0)
+    ev = ev.withColumn("consecutive", (F.col("_f") - F.col("_m")).cast("bigint")).drop("_f", "_m")
+    return ev.filter(F.col("event_type") == failure).withColumn(
         "severity", auth_severity(F.lit(failure), F.col("consecutive")))

@@ -19,6 +19,7 @@ from ..operators import chain as CH
 from ..operators import correlate as C
 from ..operators import geo as G
 from ..operators import reputation as R
+from ..operators.scans import running
 from ..session import materialize
 from ..sources.catalogue import Catalogue
 
@@ -71,12 +72,14 @@ def correlate_replay(events: DataFrame, cat: Catalogue, geo: DataFrame | None =
     a = C.alert_frame(fired, cat, F.timestamp_seconds("sec"), keep=keep)
     if not with_event_ids:
         a = a.withColumn("event_ids", C.empty_ids())
-    # Score before each alert, one window per address over its (suppressed) alerts
+    # Score before each alert = running sum of earlier deltas of the address
+    # (time-bucketed scan: no window holds more than one day of one address)
     feed = (F.col("group_by") == "src_ip") & F.col("src_ip").isNotNull() & (F.col("src_ip") != "")
-    w = Window.partitionBy("src_ip").orderBy("created_at", "rule_idx").rowsBetween(Window.unboundedPreceding, -1)
-    prior = F.least(F.lit(R.MAX_SCORE), F.coalesce(
-        F.sum(F.when(feed, R.severity_delta(F.col("severity")))).over(w), F.lit(0)))
-    a = a.withColumn("prior_score", F.when(feed, prior).otherwise(F.lit(0)).cast("int"))
+    scored = running(a.filter(feed), ["src_ip"], "created_at", ["created_at", "rule_idx"],
+                     R.severity_delta(F.col("severity")), "_prior", "sum", inclusive=False,
+                     bucket_secs=86400)
+    scored = scored.withColumn("prior_score", F.least(F.lit(R.MAX_SCORE), F.col("_prior")).cast("int"))
+    a = scored.drop("_prior").unionByName(a.filter(~feed).withColumn("prior_score", F.lit(0)))
     a = _geo_text(a, geo, "created_at")
     a = _finish(a)
     out = a.select(*ALERT_OUT)
