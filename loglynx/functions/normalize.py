@@ -80,6 +80,7 @@ def parse_timestamp(
     default_year: int | Column | None = None,
     source_tz: str | None = None,
     ingest_ts: Column | None = None,
+    fmt: str | None = None,
 ) -> Column:
     """Normalise the log timestamp shapes to a whole-second UTC timestamp.
 
@@ -102,6 +103,8 @@ def parse_timestamp(
         "yyyy-MM-dd'T'HH:mm:ss.SSS",
     ]
     parts = []
+    if fmt:  # an explicit format is tried first
+        parts.append(("naive", F.try_to_timestamp(s, F.lit(fmt))))
     if default_year is not None:
         year = default_year if isinstance(default_year, Column) else F.lit(str(default_year))
         sys_ts = F.try_to_timestamp(

@@ -75,3 +75,9 @@ def geo_misses(ips: DataFrame, geo: DataFrame, as_of, ip_col: str = "ip",
     fresh = geo.filter(a - F.make_dt_interval(days=F.lit(ttl_days)) < F.col("cached_at")).select(
         F.col("ip").alias("_gip"))
     return ext.join(fresh, ext["ip"] == F.col("_gip"), "left_anti")
+
+
+def geo_of(geo: DataFrame, ip: str, at=None, ttl_days: int = CACHE_TTL_DAYS) -> DataFrame:
+    """Geo attributes of one address (private / cached / unknown)."""
+    one = geo.sparkSession.createDataFrame([(ip,)], "ip string")
+    return geo_enrich(one, geo.filter(F.col("ip") == ip), "ip", at, ttl_days)

@@ -114,3 +114,9 @@ def top_offenders(rep: DataFrame, limit: int = 10) -> DataFrame:
     """Highest scores first (address as tie-break), with label."""
     return rep.orderBy(F.col("score").desc(), F.col("ip").asc()).limit(limit).withColumn(
         "label", score_label(F.col("score")))
+
+
+def reputation_of(rep: DataFrame, ip: str) -> DataFrame:
+    """One address's reputation row (0 / CLEAN when absent) — a pushed-down filter."""
+    one = rep.sparkSession.createDataFrame([(ip,)], "ip string")
+    return reputation_lookup(one, rep.filter(F.col("ip") == ip))

@@ -42,6 +42,20 @@ def stream_lines(spark: SparkSession, directory: str, max_files_per_trigger: int
     return r.text(directory).select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
 
 
+def kafka_lines(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest",
+                max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """ST1 over a message bus: one log line per Kafka record value, ``file_path``
+    = ``kafka:<topic>/<partition>``.  Needs the spark-sql-kafka package on the
+    classpath (not part of this image, so untested here)."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+         .option("subscribe", topic).option("startingOffsets", starting_offsets))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load().select(
+        F.concat(F.lit(f"kafka:{topic}/"), F.col("partition").cast("string")).alias("file_path"),
+        F.col("value").cast("string").alias("value"))
+
+
 def stream_events(spark: SparkSession, dirs: dict, opts: L.ParseOptions | None = None, **kw) -> DataFrame:
     """ST2: one stream per source kind -> parser -> union.  Web sources skip the
     per-file relabel (a join with an aggregate); use ``web_scan_windows``."""
@@ -70,7 +84,12 @@ def _state_schema(k: int) -> T.StructType:
 
 
 def _processor(rules: dict, k: int):
-    """Per-(rule, key) state machine.  rules: rule_idx -> (W, T, n_conds)."""
+    """Per-(rule, key) state machine.  rules: rule_idx -> (W, T, n_conds).
+
+    State: sorted seconds inside the look-back of the newest second, their
+    per-condition counts, and the last fire.  All window sums are vectorised
+    (cumulative sums + searchsorted); only the fire walk over candidate
+    seconds is a loop."""
 
     def step(key, pdfs, state):
         rule_idx, gkey = int(key[0]), key[1]
@@ -78,39 +97,41 @@ def _processor(rules: dict, k: int):
         if state.hasTimedOut:
             state.remove()
             return
+        frames = [p for p in pdfs]
+        if not frames:
+            return
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        sec = pdf["sec"].to_numpy(dtype=np.int64)
+        cond = pdf["cond_idx"].to_numpy(dtype=np.int64)
         if state.exists:
             st = state.get
-            secs = list(st[0])
-            cnts = [list(st[1 + i]) for i in range(k)]
+            old_s = np.asarray(st[0], dtype=np.int64)
+            old_c = np.array([st[1 + i] for i in range(k)], dtype=np.int64).T.reshape(len(old_s), k)
             last = st[1 + k]
         else:
-            secs, cnts, last = [], [[] for _ in range(k)], None
-        frames = [p for p in pdfs]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        # per-second counts of this batch (one row per second and condition)
-        g = pdf.groupby(["sec", "cond_idx"]).size().unstack(fill_value=0)
-        book = dict(zip(secs, zip(*cnts))) if secs else {}
-        out = []
-        for sec in g.index.to_numpy(dtype=np.int64):
-            row = [int(g.at[sec, i]) if i in g.columns else 0 for i in range(k)]
-            prev = book.get(int(sec), (0,) * k)
-            book[int(sec)] = tuple(int(a) + b for a, b in zip(prev, row))
-        s_arr = np.array(sorted(book), dtype=np.int64)
-        mat = np.array([book[int(s)] for s in s_arr], dtype=np.int64).reshape(len(s_arr), k)
+            old_s, old_c, last = np.zeros(0, np.int64), np.zeros((0, k), np.int64), None
+        new_s = np.unique(sec)
+        s_arr = np.union1d(old_s, new_s)
+        mat = np.zeros((len(s_arr), k), dtype=np.int64)
+        if len(old_s):
+            mat[np.searchsorted(s_arr, old_s)] += old_c
+        np.add.at(mat, (np.searchsorted(s_arr, sec), cond), 1)
         csum = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(mat, axis=0)])
-        for sec in g.index.to_numpy(dtype=np.int64):
-            lo = np.searchsorted(s_arr, sec - w, side="left")
-            hi = np.searchsorted(s_arr, sec, side="right")
-            tot = csum[hi] - csum[lo]
-            if ncond == 1:
-                ok, cnt = tot[0] >= thr, int(tot[0])
-            else:
-                ok, cnt = bool(np.all(tot[:ncond] >= 1)), int(tot[:ncond].sum())
-            if ok and (last is None or sec > last + w):
-                last = int(sec)
-                out.append((rule_idx, gkey, int(sec), cnt))
+        lo = np.searchsorted(s_arr, new_s - w, side="left")
+        hi = np.searchsorted(s_arr, new_s, side="right")
+        tot = csum[hi] - csum[lo]
+        if ncond == 1:
+            ok = tot[:, 0] >= thr
+            cnt = tot[:, 0]
+        else:
+            ok = np.all(tot[:, :ncond] >= 1, axis=1)
+            cnt = tot[:, :ncond].sum(axis=1)
+        out = []
+        for i in np.flatnonzero(ok):
+            t = int(new_s[i])
+            if last is None or t > last + w:
+                last = t
+                out.append((rule_idx, gkey, t, int(cnt[i])))
         newest = int(s_arr[-1])
         keep = s_arr >= newest - w
         state.update(tuple([s_arr[keep].tolist()] + [mat[keep, i].tolist() for i in range(k)] + [last]))

@@ -206,3 +206,9 @@ def test_severity_inference(spark):
                                ("sudo_command", 1)], "t string, n int")
     assert [r[0] for r in a.select(N.auth_severity(F.col("t"), F.col("n"))).collect()] == [
         "LOW", "MEDIUM", "HIGH", "LOW", "MEDIUM"]
+
+
+def test_explicit_format_first(spark):
+    df = spark.createDataFrame([("30.06.2026 14:23:01",)], "r string")
+    r = df.select(N.parse_timestamp(F.col("r"), fmt="dd.MM.yyyy HH:mm:ss")).first()[0]
+    assert r.isoformat() == "2026-06-30T14:23:01"

@@ -113,3 +113,15 @@ def test_write_batch_is_idempotent(spark, tmpdir_path):
     TB.write_batch(df, f"{tmpdir_path}/t", 0)  # re-run of the same batch replaces it
     TB.write_batch(df.limit(1), f"{tmpdir_path}/t", 1)
     assert spark.read.parquet(f"{tmpdir_path}/t").count() == 3
+
+
+def test_point_lookups(spark):
+    a = alerts(spark, [("2026-01-01 10:00:00", "ssh_brute_force", "HIGH", "1.1.1.1", "single")])
+    rep = R.reputation_table(a, RULE_TAGS)
+    assert [(r.ip, r.score, r.label) for r in R.reputation_of(rep, "1.1.1.1").collect()] == [("1.1.1.1", 15, "CLEAN")]
+    assert [(r.ip, r.score, r.label) for r in R.reputation_of(rep, "9.9.9.9").collect()] == [("9.9.9.9", 0, "CLEAN")]
+    geo = spark.createDataFrame([("8.8.8.8", "US", "US", "X", "G", False, datetime(2026, 1, 1))],
+                                "ip string, country string, country_code string, city string, org string, "
+                                "is_private boolean, cached_at timestamp")
+    assert G.geo_of(geo, "192.168.0.1").first().country_code == "LAN"
+    assert G.geo_of(geo, "8.8.8.8", "2026-01-02 00:00:00").first().city == "X"
