@@ -65,8 +65,9 @@ def match_events(events: DataFrame, cat: Catalogue, spark=None) -> DataFrame:
     types = cat.event_types()
     if types is not None:
         ev = ev.filter(F.col("event_type").isin(*types))  # pushed to the scan
-    ev = ev.select("event_id", "ts", "event_type", "source",
-                   *[F.col(k).alias(f"e_{k}") for k in keys])
+    def key_col(k):  # an event column, else a field of the ``extra`` JSON (e.g. host)
+        return F.col(k) if k in ev.columns else F.get_json_object(F.col("extra"), f"$.{k}")
+    ev = ev.select("event_id", "ts", "event_type", "source", *[key_col(k).alias(f"e_{k}") for k in keys])
     j = ev.join(conds, "event_type")
     j = j.filter(F.col("c_source").isNull() | (F.col("c_source") == F.col("source")))
     j = j.withColumn("key", group_key(keys))

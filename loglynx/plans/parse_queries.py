@@ -99,7 +99,7 @@ def parse_auth_rejects(spark, sf_dir):
 SYSLOG_TRUTH = B + """,
 sl AS (
   SELECT event_id, ts, user_id, uname, event_id % 6 AS r,
-    'svc' || CAST(user_id % 40 AS VARCHAR) AS svc,
+    'svc' || CAST(user_id % 40 AS VARCHAR) AS svc, 'host' || CAST(user_id % 9 AS VARCHAR) AS host,
     CASE WHEN (event_id // 6) % 2 = 0 THEN 'Stopped' ELSE 'Stopping' END AS stop_word
   FROM b)
 """
@@ -119,11 +119,12 @@ SELECT
        WHEN r = 4 AND event_id % 12 = 4 THEN 'Kernel segfault detected'
        WHEN r = 4 THEN 'Disk I/O error detected'
        ELSE 'PAM authentication failure' END AS message,
-  CASE WHEN r = 0 THEN '{{"service":"' || svc || '"}}'
-       WHEN r = 1 THEN '{{"service":"' || svc || '","action":"' || stop_word || '"}}'
-       WHEN r = 2 THEN '{{"service":"' || svc || '","action":"Failed to start"}}'
-       WHEN r = 3 THEN '{{"process":"proc' || CAST(user_id % 13 AS VARCHAR) || '"}}'
-       ELSE '{{}}' END AS extra
+  '{{"host":"' || host || '"' ||
+  CASE WHEN r = 0 THEN ',"service":"' || svc || '"}}'
+       WHEN r = 1 THEN ',"service":"' || svc || '","action":"' || stop_word || '"}}'
+       WHEN r = 2 THEN ',"service":"' || svc || '","action":"Failed to start"}}'
+       WHEN r = 3 THEN ',"process":"proc' || CAST(user_id % 13 AS VARCHAR) || '"}}'
+       ELSE '}}' END AS extra
 FROM sl""")
 def parse_syslog(spark, sf_dir):
     """Service start/stop, OOM, segfault, disk error and PAM failure lines."""

@@ -250,8 +250,9 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
         pam_user = F.nullif(_x(line, PAM_USER, 1), F.lit(""))
     user = F.when(kind == "pam_failure", pam_user)
     df = df.select("file_path", "line", "kind", service.alias("service"), action.alias("action"),
-                   process.alias("process"), user.alias("user"), _x(line, "^" + TS, 1).alias("ts_raw"))
-    svc, act, proc, u = F.col("service"), F.col("action"), F.col("process"), F.col("user")
+                   process.alias("process"), user.alias("user"), _x(line, "^" + TS, 1).alias("ts_raw"),
+                   _x(line, "^" + TS + r"\s+(\S+)", 2).alias("host"))
+    svc, act, proc, u, host = F.col("service"), F.col("action"), F.col("process"), F.col("user"), F.col("host")
     event_type = (
         F.when(kind == "service_start", "service_start")
         .when(kind == "service_stop", "service_stop")
@@ -273,10 +274,14 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
         .otherwise(F.concat(F.lit("PAM authentication failure"),
                             F.coalesce(F.concat(F.lit(" for user "), u), F.lit(""))))
     )
+    # the host goes into extra so rules can key system events by host (syslog
+    # lines carry no address)
     extra = (
-        F.when(kind == "service_start", F.to_json(F.struct(svc.alias("service")), _JSON_OPTS))
-        .when(kind == "service_stop", F.to_json(F.struct(svc.alias("service"), act.alias("action")), _JSON_OPTS))
-        .when(kind == "oom", F.to_json(F.struct(proc.alias("process")), _JSON_OPTS))
+        F.when(kind == "service_start", F.to_json(F.struct(host.alias("host"), svc.alias("service")), _JSON_OPTS))
+        .when(kind == "service_stop", F.to_json(F.struct(host.alias("host"), svc.alias("service"),
+                                                         act.alias("action")), _JSON_OPTS))
+        .when(kind == "oom", F.to_json(F.struct(host.alias("host"), proc.alias("process")), _JSON_OPTS))
+        .otherwise(F.to_json(F.struct(host.alias("host")), _JSON_OPTS))
     )
     out = df.select(
         opts.ts(F.col("ts_raw")).alias("ts"),

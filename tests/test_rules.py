@@ -182,3 +182,15 @@ def test_replay_alert_table_has_chains_and_ids(spark):
     assert ("chain_ssh_brute_force_then_netwatch_port_scan", "chain") in kinds
     brute = [r for r in a if r.rule_name == "ssh_brute_force"][0]
     assert brute.event_count == 5 and list(brute.event_ids) == [6, 5, 4, 3, 2]
+
+
+def test_syslog_rules_keyed_by_host(spark):
+    from loglynx.sources import logs as L
+    from .helpers import lines_df
+    lines = ["Jun 30 22:56:10 web1 systemd[1]: Failed to start Cache Server.",
+             "Jun 30 22:56:20 db1 kernel: [9.1] Out of memory: Kill process 321 (java) score 900"]
+    ev = L.parse_syslog(lines_df(spark, lines), L.ParseOptions(default_year=2026))
+    a = correlate_point(ev, DEFAULT, AS_OF)
+    got = sorted((r.rule_name, r.group_by, r.group_value, r.severity) for r in a.collect())
+    assert got == [("syslog_service_failure", "host", "web1", "HIGH"),
+                   ("syslog_system_critical", "host", "db1", "CRITICAL")]
