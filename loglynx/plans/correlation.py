@@ -123,6 +123,9 @@ def correlate_point(events: DataFrame, cat: Catalogue, as_of, history: DataFrame
     a = _finish(a)
     out = a.select(*ALERT_OUT)
     if with_chains:
+        # the run's alerts are read three times below (result, triggers, same-run
+        # 'then'); they are few, so compute them once instead of re-scanning events
+        out = materialize(out)
         ch = CH.chains_point(out, history, cat, as_of).withColumn("prior_score", F.lit(0)).withColumn(
             "geo_text", F.lit("")).withColumn(
             "alert_id", C.alert_id(F.col("rule_name"), F.col("group_value"), F.col("created_at")))
