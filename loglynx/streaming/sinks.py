@@ -57,12 +57,21 @@ def alert_sink(cat: Catalogue, table_dir: str):
         table = spark.read.parquet(alerts_path)
         mine = table.filter(F.col("batch") == str(batch_id))
         if cat.chains:
-            cand = CH.chain_candidates_replay(table, cat, triggers=mine)
+            # only alerts inside the longest chain window before this batch's first
+            # alert can pair with (or suppress) its chains: bound the history read
+            # (a ts range, pushed to the parquet reader) instead of scanning it all
+            first = mine.agg(F.min("created_at")).first()[0]
+            max_w = max(int(r[5]) for r in cat.chain_rows())
+            since = F.lit(first).cast("timestamp") - F.make_dt_interval(secs=F.lit(max_w))
+            recent = table.filter(F.col("created_at") >= since) if first is not None else mine
+            cand = CH.chain_candidates_replay(recent, cat, triggers=mine)
             cols = ["chain_idx", "chain_name", "severity", "description", "window_secs", "ip", "sec"]
             cand = cand.select(*cols).withColumn("_seed", F.lit(False))
             prev = _read_or_none(spark, chains_path)
             if prev is not None:
                 prev = prev.filter(F.col("batch") != str(batch_id))
+                if first is not None:
+                    prev = prev.filter(F.col("created_at") >= since)
                 ch = cat.chains_df(spark).select("chain_idx", "chain_name", "description", "window_secs")
                 seed = prev.groupBy(F.col("rule_name").alias("chain_name"), F.col("src_ip").alias("ip")).agg(
                     F.max(F.unix_seconds("created_at")).alias("sec"), F.max("severity").alias("severity"))
