@@ -185,3 +185,14 @@ def stream_ingest_parse(spark, sf_dir):
                                RN.parquet_sink, "stream-ingest")
     ev = spark.read.parquet(f"{work}/out")
     return ev.groupBy("source").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@query("stream_outbox", _AUTH_FULL + f"""
+SELECT rule_name, severity, {S.iso("created_at")} AS created_at, urgency FROM (
+  SELECT *, CASE severity WHEN 'LOW' THEN 'low' WHEN 'CRITICAL' THEN 'critical' ELSE 'normal' END AS urgency
+  FROM alc) WHERE severity IN ('HIGH', 'CRITICAL')""")
+def stream_outbox(spark, sf_dir):
+    """Notification outbox appended per micro-batch (alerts and chains at or above HIGH)."""
+    t = _alert_tables(spark, sf_dir)
+    box = spark.read.parquet(f"{t}/outbox")
+    return box.select("rule_name", "severity", iso_text("created_at").alias("created_at"), "urgency")

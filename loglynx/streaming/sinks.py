@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import chain as CH
 from ..operators import correlate as C
+from ..operators import notify as NT
 from ..sinks import tables as TB
 from ..sources.catalogue import Catalogue
 
@@ -42,9 +43,13 @@ def _latest_snapshot(spark, root: str, before: int):
     return snaps.filter(F.col("v") == v).drop("v")
 
 
-def alert_sink(cat: Catalogue, table_dir: str):
-    """Build the foreachBatch function for a stream of fires (rule_idx, key, sec, window_count)."""
+def alert_sink(cat: Catalogue, table_dir: str, min_severity: str = "HIGH", app_name: str = "loglynx"):
+    """Build the foreachBatch function for a stream of fires (rule_idx, key, sec, window_count).
+
+    Tables under ``table_dir``: alerts, chains, outbox (notifications at or above
+    ``min_severity`` for this batch's alerts and chains), reputation/v=<batch>."""
     alerts_path = f"{table_dir}/alerts"
+    outbox_path = f"{table_dir}/outbox"
     chains_path = f"{table_dir}/chains"
     rep_root = f"{table_dir}/reputation"
 
@@ -81,6 +86,10 @@ def alert_sink(cat: Catalogue, table_dir: str):
             rows = CH.chain_alert_rows(fired, F.timestamp_seconds("sec")).withColumn(
                 "alert_id", C.alert_id(F.col("rule_name"), F.col("group_value"), F.col("created_at")))
             TB.write_batch(rows, chains_path, batch_id)
+            notify = mine.unionByName(rows.withColumn("batch", F.lit(str(batch_id))), allowMissingColumns=True)
+        else:
+            notify = mine
+        TB.write_batch(NT.outbox(notify.drop("batch"), min_severity, app_name), outbox_path, batch_id)
         prev_snap = _latest_snapshot(spark, rep_root, batch_id)
         snap = TB.merge_reputation(prev_snap, TB.reputation_delta(mine, cat.tags))
         snap.write.mode("overwrite").parquet(f"{rep_root}/v={batch_id}")
