@@ -22,7 +22,6 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

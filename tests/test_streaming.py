@@ -12,7 +12,6 @@ from loglynx.sources.catalogue import Catalogue
 from loglynx.streaming import rules as SR
 from loglynx.streaming import runner as RN
 
-from .helpers import lines_df
 
 CAT = Catalogue.from_dict({"rules": [{"name": "bf", "description": "d", "severity": "HIGH", "window_secs": 60,
                                       "threshold": 3, "conditions": [{"event_type": "auth_failure",
