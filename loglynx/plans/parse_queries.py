@@ -185,7 +185,7 @@ SELECT 'netwatch' AS source,
        CASE event_id % 3 WHEN 0 THEN 'port_scan' WHEN 1 THEN 'dns_anomaly' ELSE 'unknown' END AS event_type,
        CASE WHEN value >= 100 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, {S.iso("ts")} AS ts, ip AS src_ip,
        CASE WHEN event_id % 2 = 0 THEN 'scan from ' || ip
-            ELSE 'NetWatch alert: ' || CASE event_id % 3 WHEN 0 THEN 'PORT_SCAN' WHEN 1 THEN 'DNS_ANOMALY'
+            ELSE '{L.NETWATCH_DEFAULT_DETAILS}' || CASE event_id % 3 WHEN 0 THEN 'PORT_SCAN' WHEN 1 THEN 'DNS_ANOMALY'
                                              ELSE 'BEACON' END END AS message
 FROM b WHERE kind = 'purchase'
 UNION ALL

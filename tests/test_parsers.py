@@ -142,7 +142,7 @@ def test_json_files_both_shapes(spark, tmpdir_path):
     open(p3, "w").write(json.dumps({"alerts": []}))
     for p in (p1, p2):
         got = sorted((r.event_type, r.severity, r.message) for r in L.read_json_alerts(spark, p, "netwatch").collect())
-        assert got == [("port_scan", "HIGH", "scan"), ("unknown", "MEDIUM", "NetWatch alert: WEIRD")]
+        assert got == [("port_scan", "HIGH", "scan"), ("unknown", "MEDIUM", L.NETWATCH_DEFAULT_DETAILS + "WEIRD")]
     assert L.read_json_alerts(spark, p3, "netwatch").count() == 0
     hg = f"{tmpdir_path}/hg.json"
     open(hg, "w").write(json.dumps([{"timestamp": "2026-06-30T14:23:01", "mac": "aa:bb", "ip": "192.168.1.9",
