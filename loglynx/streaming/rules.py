@@ -80,78 +80,107 @@ FIRE_SCHEMA = T.StructType([
 def _state_schema(k: int) -> T.StructType:
     return T.StructType([T.StructField("secs", T.ArrayType(T.LongType()))]
                         + [T.StructField(f"c{i}", T.ArrayType(T.LongType())) for i in range(k)]
-                        + [T.StructField("last_fire", T.LongType())])
+                        + [T.StructField("last_fire", T.LongType()), T.StructField("done", T.LongType())])
 
 
-def _processor(rules: dict, k: int):
+def _processor(rules: dict, k: int, order: str = "arrival"):
     """Per-(rule, key) state machine.  rules: rule_idx -> (W, T, n_conds).
 
-    State: sorted seconds inside the look-back of the newest second, their
-    per-condition counts, and the last fire.  All window sums are vectorised
-    (cumulative sums + searchsorted); only the fire walk over candidate
-    seconds is a loop."""
+    State: sorted seconds that a future evaluation can still look back to,
+    their per-condition counts, the last fire and (event-time order) the last
+    evaluated second.  ``order="arrival"`` evaluates the seconds of each batch
+    as they arrive (like the periodic loop); ``order="event_time"`` buffers
+    them and evaluates a second only once the watermark has passed it (an
+    event-time timer calls back), so rows arriving out of order within the
+    watermark delay give exactly the batch result.  Window sums are
+    vectorised (cumulative sums + searchsorted); only the fire walk loops."""
 
     def step(key, pdfs, state):
         rule_idx, gkey = int(key[0]), key[1]
         w, thr, ncond = rules[rule_idx]
-        if state.hasTimedOut:
-            state.remove()
-            return
         frames = [p for p in pdfs]
-        if not frames:
-            return
-        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        sec = pdf["sec"].to_numpy(dtype=np.int64)
-        cond = pdf["cond_idx"].to_numpy(dtype=np.int64)
         if state.exists:
             st = state.get
             old_s = np.asarray(st[0], dtype=np.int64)
             old_c = np.array([st[1 + i] for i in range(k)], dtype=np.int64).T.reshape(len(old_s), k)
-            last = st[1 + k]
+            last, done = st[1 + k], st[2 + k]
+        else:
+            old_s, old_c, last, done = np.zeros(0, np.int64), np.zeros((0, k), np.int64), None, None
+        if state.hasTimedOut and not frames and order == "arrival":
+            state.remove()
+            return
+        if frames:
+            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+            sec = pdf["sec"].to_numpy(dtype=np.int64)
+            cond = pdf["cond_idx"].to_numpy(dtype=np.int64)
+            s_arr = np.union1d(old_s, np.unique(sec))
+            mat = np.zeros((len(s_arr), k), dtype=np.int64)
+            if len(old_s):
+                mat[np.searchsorted(s_arr, old_s)] += old_c
+            np.add.at(mat, (np.searchsorted(s_arr, sec), cond), 1)
         else:
-            old_s, old_c, last = np.zeros(0, np.int64), np.zeros((0, k), np.int64), None
-        new_s = np.unique(sec)
-        s_arr = np.union1d(old_s, new_s)
-        mat = np.zeros((len(s_arr), k), dtype=np.int64)
-        if len(old_s):
-            mat[np.searchsorted(s_arr, old_s)] += old_c
-        np.add.at(mat, (np.searchsorted(s_arr, sec), cond), 1)
-        csum = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(mat, axis=0)])
-        lo = np.searchsorted(s_arr, new_s - w, side="left")
-        hi = np.searchsorted(s_arr, new_s, side="right")
-        tot = csum[hi] - csum[lo]
-        if ncond == 1:
-            ok = tot[:, 0] >= thr
-            cnt = tot[:, 0]
+            sec, s_arr, mat = np.zeros(0, np.int64), old_s, old_c
+        wm_ms = state.getCurrentWatermarkMs()
+        if order == "arrival":
+            todo = np.unique(sec)
         else:
-            ok = np.all(tot[:, :ncond] >= 1, axis=1)
-            cnt = tot[:, :ncond].sum(axis=1)
+            lo_s = -(1 << 62) if done is None else done
+            todo = s_arr[(s_arr > lo_s) & (s_arr <= wm_ms // 1000)]
+            if len(todo):
+                done = int(todo[-1])
         out = []
-        for i in np.flatnonzero(ok):
-            t = int(new_s[i])
-            if last is None or t > last + w:
-                last = t
-                out.append((rule_idx, gkey, t, int(cnt[i])))
-        newest = int(s_arr[-1])
-        keep = s_arr >= newest - w
-        state.update(tuple([s_arr[keep].tolist()] + [mat[keep, i].tolist() for i in range(k)] + [last]))
-        state.setTimeoutTimestamp((newest + w + 1) * 1000)
+        if len(todo):
+            csum = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(mat, axis=0)])
+            tot = (csum[np.searchsorted(s_arr, todo, side="right")]
+                   - csum[np.searchsorted(s_arr, todo - w, side="left")])
+            if ncond == 1:
+                ok, cnt = tot[:, 0] >= thr, tot[:, 0]
+            else:
+                ok, cnt = np.all(tot[:, :ncond] >= 1, axis=1), tot[:, :ncond].sum(axis=1)
+            for i in np.flatnonzero(ok):
+                t = int(todo[i])
+                if last is None or t > last + w:
+                    last = t
+                    out.append((rule_idx, gkey, t, int(cnt[i])))
+        if len(s_arr) == 0:
+            state.remove()
+        else:
+            if order == "arrival":
+                horizon = int(s_arr[-1])
+                keep = s_arr >= horizon - w
+                timeout_s = horizon + w + 1
+            else:
+                pending = s_arr[s_arr > (done if done is not None else -(1 << 62))]
+                keep = s_arr >= ((done + 1) if done is not None else int(s_arr[0])) - w
+                timeout_s = int(pending[0]) if len(pending) else (done + w + 1)
+            if timeout_s * 1000 <= wm_ms:
+                state.remove()  # nothing left that a future evaluation could need
+            else:
+                state.update(tuple([s_arr[keep].tolist()] + [mat[keep, i].tolist() for i in range(k)]
+                                   + [last, done]))
+                state.setTimeoutTimestamp(timeout_s * 1000)
         if out:
             yield pd.DataFrame(out, columns=["rule_idx", "key", "sec", "window_count"])
 
     return step
 
 
-def exact_rule_alerts(events: DataFrame, cat: Catalogue, watermark: str = "1 day") -> DataFrame:
+def exact_rule_alerts(events: DataFrame, cat: Catalogue, watermark: str = "1 day",
+                      order: str = "arrival") -> DataFrame:
     """ST4: streaming rule evaluation with exact look-back and re-fire suppression.
 
+    ``order``: "arrival" (evaluate each batch's seconds as they come) or
+    "event_time" (evaluate once the watermark passes; equal to the batch replay
+    for any arrival order within the watermark delay).
     -> rule_idx, key, sec, window_count (one row per fire)."""
+    if order not in ("arrival", "event_time"):
+        raise ValueError(f"order must be 'arrival' or 'event_time', not {order!r}")
     k = cat.max_conditions()
     rules = {r[0]: (int(r[4]), int(r[5]), int(r[6])) for r in cat.condition_rows()}
     m = C.match_events(events.withWatermark("ts", watermark), cat)
     m = m.select("rule_idx", "key", "cond_idx", "ts", F.unix_seconds("ts").alias("sec"))
     return m.groupBy("rule_idx", "key").applyInPandasWithState(
-        _processor(rules, k), FIRE_SCHEMA, _state_schema(k), "append", "EventTimeTimeout")
+        _processor(rules, k, order), FIRE_SCHEMA, _state_schema(k), "append", "EventTimeTimeout")
 
 
 def sliding_counts(events: DataFrame, cat: Catalogue, window_secs: int, slide_secs: int,

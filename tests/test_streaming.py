@@ -97,3 +97,24 @@ def test_multi_source_stream(spark):
     q.awaitTermination()
     got = sorted((r.source, r.event_type) for r in spark.sql("select * from multi_t").collect())
     assert got == [("auth_log", "auth_failure"), ("nginx", "web_error")]
+
+
+def test_event_time_order_equals_batch_out_of_order(spark):
+    """Chunks arrive newest-first within the watermark delay: event-time order still
+    gives the batch result; a final far-future row advances the watermark."""
+    lines = _lines(spark)
+    batch = C.replay_fired(L.parse_auth(lines.select("file_path", "value"), OPTS), CAT)
+    exp = sorted((r.key, r.sec, r.window_count) for r in batch.collect())
+    flush = spark.createDataFrame([("auth.log", _line(datetime(2026, 3, 5, 9), "9.9.9.9"), datetime(2026, 3, 5, 9))],
+                                  "file_path string, value string, ts timestamp")
+    base = int(datetime(2026, 3, 4, 9).timestamp())
+    chunk = (F.lit(2) - F.floor((F.unix_seconds("ts") - F.lit(base)) / 600)).cast("int")  # reversed order
+    data = lines.unionByName(flush)
+    chunk = F.when(F.col("ts") >= F.lit("2026-03-05").cast("timestamp"), F.lit(3)).otherwise(chunk)
+
+    def build(stream):
+        return SR.exact_rule_alerts(L.parse_auth(stream, OPTS), CAT, watermark="2 hours", order="event_time")
+    work = RN.run_chunks(spark, data, chunk, 4, build, RN.parquet_sink, "t-evt")
+    got = sorted((r.key, r.sec, r.window_count) for r in spark.read.parquet(f"{work}/out").collect()
+                 if r.key != "9.9.9.9")
+    assert got == exp
