@@ -53,6 +53,7 @@ def cluster_settings(total_input_bytes: int, executor_cores: int = 4, executors:
         "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # drop checkpoint files once unreferenced
         "spark.ui.enabled": "false",
     }
 
