@@ -34,13 +34,15 @@ def get_spark(master: str | None = None, app_name: str = "loglynx") -> SparkSess
 def cluster_settings(total_input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:
     """Suggested settings for a large cluster run (pass to spark-submit --conf).
 
-    Shuffle partitions start at ~1 per 200 MB of input (AQE coalesces small
-    ones and splits skewed ones at run time); file splits of 512 MB keep the
-    scan task count manageable; RocksDB keeps streaming state off-heap and
+    Shuffle partitions start at ~1 per GB of input, clamped to 3-25x the
+    cores (shuffled data is far smaller than the input after pruning,
+    filtering and map-side combine; AQE coalesces small partitions and
+    splits skewed ones at run time); file splits of 512 MB keep the scan
+    task count manageable; RocksDB keeps streaming state off-heap and
     spills it to disk.
     """
     cores = executor_cores * executors
-    parts = max(cores * 2, total_input_bytes // (200 * 1024 * 1024))
+    parts = min(max(cores * 3, total_input_bytes // (1024 ** 3)), cores * 25)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
