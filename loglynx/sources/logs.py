@@ -249,18 +249,23 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
     df = lines.select("file_path", strip(F.col("value")).alias("line"))
     df = df.withColumn("kind", _kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
     line, kind = F.col("line"), F.col("kind")
-    service = (
-        F.when(kind == "service_start", _x(line, P["service_start"], 2))
-        .when(kind == "service_stop", _x(line, P["service_stop"], 3))
-    )
-    action = F.when(kind == "service_stop", _x(line, P["service_stop"], 2))
-    process = F.when(kind == "oom", _x(line, P["oom"], 2))
+    # one regex pass per line for the kind's groups (ts first)
+    n_groups = {"service_start": 2, "service_stop": 3, "oom": 2, "segfault": 1, "disk_error": 1, "pam_failure": 2}
+    groups = None
+    for name, pat in P.items():
+        g = _groups(line, pat, n_groups[name])
+        groups = F.when(kind == name, g) if groups is None else groups.when(kind == name, g)
+    df = df.withColumn("g", groups)
+    g = F.col("g")
+    service = F.when(kind == "service_start", g[1]).when(kind == "service_stop", g[2])
+    action = F.when(kind == "service_stop", g[1])
+    process = F.when(kind == "oom", g[1])
     pam_user = F.lit(None).cast("string")
     if opts.extract_pam_user:
         pam_user = F.nullif(_x(line, PAM_USER, 1), F.lit(""))
     user = F.when(kind == "pam_failure", pam_user)
     df = df.select("file_path", "line", "kind", service.alias("service"), action.alias("action"),
-                   process.alias("process"), user.alias("user"), _x(line, "^" + TS, 1).alias("ts_raw"),
+                   process.alias("process"), user.alias("user"), g[0].alias("ts_raw"),
                    _x(line, "^" + TS + r"\s+(\S+)", 2).alias("host"))
     svc, act, proc, u, host = F.col("service"), F.col("action"), F.col("process"), F.col("user"), F.col("host")
     event_type = (
