@@ -212,3 +212,12 @@ def test_explicit_format_first(spark):
     df = spark.createDataFrame([("30.06.2026 14:23:01",)], "r string")
     r = df.select(N.parse_timestamp(F.col("r"), fmt="dd.MM.yyyy HH:mm:ss")).first()[0]
     assert r.isoformat() == "2026-06-30T14:23:01"
+
+
+def test_single_pass_groups_keep_special_characters(spark):
+    line = '203.0.113.9 - - [14/Mar/2026:09:20:00 +0000] "GET /a$1\\b?x=$2 HTTP/1.1" 404 0 "-" "x"'
+    r = one(L.parse_web(lines_df(spark, [line]), "nginx"))
+    assert json.loads(r.extra)["path"] == "/a$1\\b?x=$2" and r.user is None
+    sudo = "Mar 14 09:11:00 node1 sudo: ana : TTY=pts/1 ; USER=root ; COMMAND=/bin/echo $HOME \\n"
+    s = one(L.parse_auth(lines_df(spark, [sudo]), OPTS))
+    assert json.loads(s.extra) == {"command": "/bin/echo $HOME \\n"}
