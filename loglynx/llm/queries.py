@@ -98,3 +98,75 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(said(F.filter("spans", lambda s: s["kind"] != "novel")), 256).alias("base_sha256"),
                         said("spans").alias("spans"), count("novel"))
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
+             ("block", "net", "/fr/")]
+URL_SQL = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS rid, page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+r(verdict, rhost, rpath) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                    ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+f AS (
+  SELECT rid, rhost || rpath AS rule, verdict,
+         row_number() OVER (PARTITION BY rid ORDER BY length(rhost) DESC, length(rpath) DESC, verdict DESC) AS nth
+  FROM p JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM p LEFT JOIN (SELECT * FROM f WHERE nth = 1) g ON p.rid = g.rid
+"""
+
+
+@query("op2_url_filters", URL_SQL)
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import urlfilter
+
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op5_warc_round_trip")
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def license_sql() -> str:
+    """The sentence table and the rules as literals, the rest as list functions."""
+    from loglynx.llm import licenses as L
+
+    ids, rules = L.tables(L.SENTENCES, L.RULES)
+    known = ", ".join(f"'{s}': '{i}'" for s, i in ids.items())
+    values = ", ".join(f"('{r}', '{lic}', '{p}', {n})" for r, lic, p, n in rules)
+
+    def sequence(end: str) -> str:
+        plain = ("trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                 "'[^a-z0-9]+', ' ', 'g'), ' ')")
+        return (f"',' || array_to_string(list_filter(list_transform(regexp_split_to_array(text, '{end}'), "
+                f"lambda s: map_extract(MAP {{{known}}}, {plain})[1]), lambda i: i IS NOT NULL), ',') || ','")
+
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {sequence(L.BY_LINE)} AS a, {sequence(L.BY_PARAGRAPH)} AS b
+  FROM documents WHERE regexp_matches(text, '(?i){L.KEYWORDS}')),
+r(rule, license, seq, n) AS (VALUES {values}),
+f AS (SELECT d.rid, d.doc_id, r.* FROM d JOIN r ON contains(d.a, r.seq) OR contains(d.b, r.seq))
+SELECT doc_id, rule, license, CAST(n AS INTEGER) AS n_sentences FROM f
+WHERE NOT EXISTS (SELECT 1 FROM f q WHERE q.rid = f.rid AND q.seq <> f.seq AND contains(q.seq, f.seq))
+"""
+
+
+@query("op8_license_scans", license_sql())
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import runindex
+
+    return runindex.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("spans")
