@@ -156,6 +156,7 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redact(docs: DataFrame, text: str = "text", count: str = "n_chars", min_novelty: float = 0.7, context: int = 48) -> DataFrame:
     """``docs`` with every secret replaced by a placeholder; no document goes."""
+    counted = count in docs.columns
 
     def run(batches):
         novelty = Novelty()
@@ -166,7 +167,7 @@ def redact(docs: DataFrame, text: str = "text", count: str = "n_chars", min_nove
                 if any(found):
                     new = {i: mask(part.column(at)[i].as_py(), s) for i, s in enumerate(found) if s}
                     part = _set(part, text, new)
-                    if count in docs.columns:
+                    if counted:
                         part = _set(part, count, {i: len(t) for i, t in new.items()})
                 yield part
 

@@ -54,7 +54,7 @@ QUESTIONS = [(1, "A train leaves Boston at 9 am and travels 300 km to Albany. If
              (6, "The farmer sold 12 apples to Tom and 12 pears to Ann before the market closed early on that cold rainy day in town.")]
 TEXTS = [(10, "intro words, then: A train leaves Chicago at 7 am and travels 450 km to Denver. If Peter rides the train from Chicago, how many km does Peter travel? end"),
          (11, "A train leaves Chicago at 7 am and travels 450 km to Denver. If Peter rides the train from Dallas, how many km does Karl travel?"),
-         (12, QUESTIONS[0][1]), (13, "so what is SEVEN times eight"), (14, "12 34 56"), (15, "nothing in common here at all"), (None, QUESTIONS[0][1]), (16, None),
+         (12, QUESTIONS[0][1]), (13, "so what is seven times eight, please"), (14, "12 34 56"), (15, "nothing in common here at all"), (None, QUESTIONS[0][1]), (16, None),
          (17, "the farmer sold 9 apples to Jim and 9 pears to Eve before the market closed early on that cold rainy day in town"),
          (18, "the farmer sold 9 apples to Jim and 8 pears to Eve before the market closed early")]
 
