@@ -170,3 +170,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loglynx.llm import runindex
 
     return runindex.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("spans")
+
+
+@query("op4_lm_scores")
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import lm
+
+    return lm.train_and_score(table(spark, sf_dir, "documents"), modulus=7, rest=2)
