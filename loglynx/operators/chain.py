@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.catalogue import Catalogue
-from .correlate import empty_ids, suppress_refires
+from .correlate import empty_ids, recent_history, suppress_refires
 
 CHAIN_PREFIX = "[CHAIN] "
 
@@ -84,7 +84,10 @@ def chains_replay(alerts: DataFrame, cat: Catalogue) -> DataFrame:
 def chains_point(fired_now: DataFrame, history: DataFrame | None, cat: Catalogue, as_of) -> DataFrame:
     """Chains at one moment: triggers are alerts fired in this run; ``then``
     fired in this run (any key) or in history for the address within Wc;
-    a chain alert for the same address within Wc suppresses a new one."""
+    a chain alert for the same address within Wc suppresses a new one.  Only
+    history inside the longest Wc is read."""
+    if history is not None and cat.chains:
+        history = recent_history(history, as_of, max(int(r[5]) for r in cat.chain_rows()))
     spark = fired_now.sparkSession
     a = F.lit(as_of).cast("timestamp")
     ch = cat.chains_df(spark)

@@ -22,12 +22,13 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import EVENT_TYPES
-from ..sources.catalogue import Catalogue
+from ..session import materialize
+from ..sources.catalogue import CONDITION_SCHEMA, Catalogue
 
 
 def _ts(x) -> Column:
@@ -48,26 +49,30 @@ def group_key(group_keys: list[str]) -> Column:
 def match_events(events: DataFrame, cat: Catalogue, spark=None) -> DataFrame:
     """J1 + F3: one row per (event, matching rule condition) with its group key.
 
-    Conditions without an event_type match any type (expanded to the closed
-    type set so the join stays an equi join).  Source null = any source.
-    Rows whose key is null or empty are dropped.
+    Conditions with an event_type meet the events by a hash join on it; those
+    without (any type, also types outside the closed set) are few and known, so
+    they are laid beside each event as an array.  Source null = any source.
+    Rows whose key is null or empty are dropped, and so are events without a
+    time: no window holds them (``sources.logs`` marks them in ts_status).
     """
     spark = spark or events.sparkSession
-    conds = cat.conditions_df(spark)
-    conds = conds.withColumn(
-        "event_type",
-        F.explode(F.when(F.col("event_type").isNull(), F.array(*[F.lit(t) for t in EVENT_TYPES]))
-                  .otherwise(F.array(F.col("event_type")))),
-    ).withColumnRenamed("source", "c_source")
     keys = cat.group_keys()
-    ev = events
     types = cat.event_types()
+
+    def key_col(k):  # an event column, else a field of the ``extra`` JSON (e.g. host)
+        return F.col(k) if k in events.columns else F.get_json_object(F.col("extra"), f"$.{k}")
+    ev = events.filter(F.col("ts").isNotNull())
     if types is not None:
         ev = ev.filter(F.col("event_type").isin(*types))  # pushed to the scan
-    def key_col(k):  # an event column, else a field of the ``extra`` JSON (e.g. host)
-        return F.col(k) if k in ev.columns else F.get_json_object(F.col("extra"), f"$.{k}")
     ev = ev.select("event_id", "ts", "event_type", "source", *[key_col(k).alias(f"e_{k}") for k in keys])
-    j = ev.join(conds, "event_type")
+    typed = cat.conditions_df(spark).filter(F.col("event_type").isNotNull()).withColumnRenamed("source", "c_source")
+    j = ev.join(typed, "event_type")
+    if types is None:
+        names = [f.name for f in CONDITION_SCHEMA.fields]
+        anys = [r for r in cat.condition_rows() if r[names.index("event_type")] is None]
+        rows = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias("c_source" if f.name == "source" else f.name)
+                                    for f, v in zip(CONDITION_SCHEMA.fields, r) if f.name != "event_type"]) for r in anys])
+        j = j.unionByName(ev.select("*", F.explode(rows).alias("c")).select(*ev.columns, "c.*"))
     j = j.filter(F.col("c_source").isNull() | (F.col("c_source") == F.col("source")))
     j = j.withColumn("key", group_key(keys))
     j = j.filter(F.col("key").isNotNull() & (F.col("key") != ""))
@@ -111,12 +116,12 @@ def point_candidates(events: DataFrame, cat: Catalogue, as_of, open_ended: bool
     m = in_window(match_events(prefilter_events(events, cat, as_of, open_ended), cat), as_of, open_ended)
     g = m.groupBy("rule_idx", "rule_name", "n_conds", "window_secs", "threshold", "key").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), cond_idx)")).alias("cond_mask"),
+        F.size(F.collect_set("cond_idx")).alias("conds_seen"),  # at most the rule's conditions
         F.min(F.when(F.col("cond_idx") == 0, F.col("group_by"))).alias("group_by"),
     )
     fire = F.when(F.col("n_conds") == 1, F.col("event_count") >= F.col("threshold")).otherwise(
-        F.bit_count(F.col("cond_mask")) == F.col("n_conds"))
-    return g.filter(fire).drop("cond_mask", "threshold")
+        F.col("conds_seen") == F.col("n_conds"))
+    return g.filter(fire).drop("conds_seen", "threshold")
 
 
 def top_event_ids(matched: DataFrame, k: int = 50) -> DataFrame:
@@ -134,13 +139,22 @@ def top_event_ids(matched: DataFrame, k: int = 50) -> DataFrame:
                     lambda x: x["event_id"]).alias("event_ids"))
 
 
-def dedup_against_history(cands: DataFrame, history: DataFrame, as_of) -> DataFrame:
+def recent_history(history: DataFrame, as_of, window_secs: int) -> DataFrame:
+    """Alerts created at or after as_of - ``window_secs``: a bound on created_at that reaches
+    the scan, so an evaluation reads the last windows of a stored alert table, not all of it."""
+    lo = _ts(as_of) - F.expr(f"INTERVAL {int(window_secs)} SECONDS")
+    return history.filter(F.col("created_at") >= lo)
+
+
+def dedup_against_history(cands: DataFrame, history: DataFrame, as_of, max_window: int | None = None) -> DataFrame:
     """Drop candidates whose (rule, group value) already alerted at or after as_of - W.
 
-    ``history`` needs rule_name, group_value, created_at.  It is pre-filtered
-    by the widest window so the join only sees recent alerts.
+    ``history`` needs rule_name, group_value, created_at.  With ``max_window``
+    (the widest W of the rules) only alerts inside it are read.
     """
     a = _ts(as_of)
+    if max_window is not None:
+        history = recent_history(history, as_of, max_window)
     h = history.select(F.col("rule_name").alias("h_rule"), F.col("group_value").alias("h_key"),
                        F.col("created_at").alias("h_at"))
     cond = ((F.col("rule_name") == F.col("h_rule")) & (F.col("key") == F.col("h_key"))
@@ -205,50 +219,123 @@ def replay_candidates(events: DataFrame, cat: Catalogue, matched: DataFrame | No
         "rule_idx", "key", "sec", "window_secs", count.alias("window_count"))
 
 
-def _greedy_fold(key_cols: list[str], window_col: str):
-    """Ordered fold over rows sorted by (key_cols..., sec), streamed batch by batch.
+FOLD_BUCKETS = 64  # windows in one span
+
 
-    Within a key: fire at the first candidate, then at the first candidate
-    strictly later than last fire + W, and so on.  The only state carried
-    across Arrow batches is (current key, last fire), so memory is one batch
-    whatever the size of a key."""
+def _walk(sec: np.ndarray, width: int, last: int | None) -> list[int]:
+    """Greedy fires among sorted seconds: the first candidate later than last + W, and so on."""
+    out = []
+    j = 0 if last is None else int(np.searchsorted(sec, last + width, side="right"))
+    while j < len(sec):
+        out.append(j)
+        j = int(np.searchsorted(sec, int(sec[j]) + width, side="right"))
+    return out
 
-    def fold(batches):
-        carry_key, carry_last = None, None
+
+def _pieces(key_cols: list[str]):
+    """Runs of rows of one (key, span) of a sorted stream, across Arrow batches; a run is at most
+    one second-row for each second of a span, whatever the key's volume."""
+    def pieces(batches):
+        held, current = [], None
         for pdf in batches:
-            n = len(pdf)
-            if n == 0:
+            if not len(pdf):
                 continue
-            sec = pdf["sec"].to_numpy(dtype=np.int64)
-            win = pdf[window_col].to_numpy(dtype=np.int64)
-            keys = list(zip(*[pdf[c].tolist() for c in key_cols]))
-            bounds = [0] + [i for i in range(1, n) if keys[i] != keys[i - 1]] + [n]
-            keep = np.zeros(n, dtype=bool)
+            ids = pdf.groupby([*key_cols, "span"], sort=False, dropna=False).ngroup().to_numpy()
+            bounds = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(pdf)]
             for a, b in zip(bounds[:-1], bounds[1:]):
-                seg = sec[a:b]
-                last = carry_last if keys[a] == carry_key else None
-                j = 0 if last is None else int(np.searchsorted(seg, last + win[a], side="right"))
-                while j < b - a:
-                    keep[a + j] = True
-                    last = int(seg[j])
-                    j = int(np.searchsorted(seg, last + win[a + j], side="right"))
-                carry_key, carry_last = keys[b - 1], last
-            yield pdf[keep]
-
-    return fold
+                part = pdf.iloc[a:b]
+                this = tuple(part[c].iloc[0] for c in [*key_cols, "span"])
+                if held and this != current:
+                    yield pd.concat(held) if len(held) > 1 else held[0]
+                    held = []
+                held.append(part)
+                current = this
+        if held:
+            yield pd.concat(held) if len(held) > 1 else held[0]
+    return pieces
 
 
 def suppress_refires(cands: DataFrame, key_cols: list[str], window_col: str = "window_secs") -> DataFrame:
     """Greedy suppression of candidates (column ``sec``) per key.
 
-    One hash exchange on the key, a sort inside each partition (spills to
-    disk when large) and one ordered fold per partition in Arrow batches —
-    no per-group Python call, no group held in memory.  Candidates are
-    per-second rows, so a key contributes at most one row per second of its
-    history whatever its event volume.
+    Which candidates fire depends on the last fire before them, so a key is cut
+    into spans of FOLD_BUCKETS windows that are worked on separately.  Fires are
+    more than W apart: the last fire before a span matters only if it lies in the
+    W seconds before the span's first candidate, and it is itself a candidate of
+    the span before.  A first pass summarises each span as a map from every last
+    fire that can enter (none, or a candidate among the last W seconds of the span
+    before) to the one that leaves; as fires that enter differently soon meet, the
+    walk of a further entry stops where it joins an earlier one.  A second pass
+    chains the few summaries of a key in order, and a third walks every span with
+    the fire that truly enters it.  So a key's history is split over many tasks; only
+    its summaries, one per span, meet in one.
     """
-    ordered = cands.repartition(*key_cols).sortWithinPartitions(*key_cols, "sec")
-    return ordered.mapInPandas(_greedy_fold(key_cols, window_col), cands.schema)
+    columns, schema = cands.columns, cands.schema
+    keys_schema = [schema[c] for c in key_cols]
+    width = F.greatest(F.col(window_col), F.lit(1))
+    spanned = materialize(cands).withColumn("span", F.floor(F.col("sec") / (width * FOLD_BUCKETS)).cast("long"))
+    pieces = _pieces(key_cols)
+    # the candidates of the last W seconds of a span may enter the next one
+    late = F.col("sec") >= (F.col("span") + 1) * width * FOLD_BUCKETS - width
+    own, into = F.struct("span", F.lit(False).alias("entry")), F.struct((F.col("span") + 1).alias("span"), F.lit(True).alias("entry"))
+    both = spanned.select(*key_cols, "sec", window_col, F.explode(F.when(late, F.array(own, into)).otherwise(F.array(own))).alias("at"))
+    both = both.select(*key_cols, "sec", window_col, "at.span", "at.entry")
+    both = both.repartition(*key_cols, "span").sortWithinPartitions(*key_cols, "span", "sec")
+
+    def summarise(batches):
+        for pdf in pieces(batches):
+            entry = pdf["entry"].to_numpy(dtype=bool)
+            sec = pdf["sec"].to_numpy(dtype=np.int64)
+            own, enter = sec[~entry], sec[entry]
+            if not len(own):
+                continue
+            w = int(pdf[window_col].iloc[0])
+            leaves: dict[int, int] = {}  # fire -> the span's last fire after it
+            exits = []
+            for last in [None, *enter.tolist()]:
+                path = []
+                j = 0 if last is None else int(np.searchsorted(own, last + w, side="right"))
+                while j < len(own) and j not in leaves:
+                    path.append(j)
+                    j = int(np.searchsorted(own, int(own[j]) + w, side="right"))
+                end = leaves[j] if j < len(own) else (int(own[path[-1]]) if path else last)
+                leaves.update(dict.fromkeys(path, end))
+                exits.append(end)
+            row = {c: [pdf[c].iloc[0]] for c in [*key_cols, "span"]}
+            yield pd.DataFrame(row | {"w": [w], "first": [int(own[0])], "enter": [enter.tolist()], "leave": [exits]})
+
+    summary_schema = T.StructType([*keys_schema, T.StructField("span", T.LongType()), T.StructField("w", T.LongType()),
+                                   T.StructField("first", T.LongType()), T.StructField("enter", T.ArrayType(T.LongType())),
+                                   T.StructField("leave", T.ArrayType(T.LongType()))])
+    summaries = both.mapInPandas(summarise, summary_schema)
+
+    def chain(batches):
+        current, last = None, None
+        for pdf in batches:
+            entering = []
+            for *key, w, first, enter, leave in zip(*(pdf[c] for c in [*key_cols, "w", "first", "enter", "leave"])):
+                if key != current:
+                    current, last = key, None
+                if last is not None and last + w < first:
+                    last = None  # it silences nothing here
+                entering.append(last)
+                at = {e: i + 1 for i, e in enumerate(enter)}
+                last = leave[0 if last is None else at[last]]
+            yield pdf[[*key_cols, "span"]].assign(last=pd.array(entering, dtype="Int64"))
+
+    chain_schema = T.StructType([*keys_schema, T.StructField("span", T.LongType()), T.StructField("last", T.LongType())])
+    entering = summaries.repartition(*key_cols).sortWithinPartitions(*key_cols, "span").mapInPandas(chain, chain_schema)
+    told = spanned.alias("c").join(entering.alias("e"), reduce(lambda a, b: a & b, [
+        F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in [*key_cols, "span"]])).select("c.*", F.col("e.last").alias("_last"))
+    told = told.repartition(*key_cols, "span").sortWithinPartitions(*key_cols, "span", "sec")
+
+    def fire(batches):
+        for pdf in pieces(batches):
+            last = pdf["_last"].iloc[0]
+            keep = _walk(pdf["sec"].to_numpy(dtype=np.int64), int(pdf[window_col].iloc[0]), None if pd.isna(last) else int(last))
+            yield pdf.iloc[keep][columns]
+
+    return told.mapInPandas(fire, schema)
 
 
 def replay_fired(events: DataFrame, cat: Catalogue) -> DataFrame:
@@ -261,11 +348,16 @@ def window_event_ids(fires: DataFrame, matched: DataFrame, k: int = 50) -> DataF
 
     Range join made an equi join on (rule, key, W-bucket): each fire is
     looked up in its own bucket and the previous one, so a key's events
-    are never paired with all of its fires.
+    are never paired with all of its fires.  Of one second of a (rule, key,
+    condition) only the newest k can be among a fire's newest k, as windows end
+    on whole seconds: the rest are dropped before any exchange meets a hot key
+    (the limit is applied map-side, like in ``top_event_ids``).
     """
     width = F.greatest(F.col("window_secs"), F.lit(1))
     ev = matched.select("rule_idx", "key", "cond_idx", "ts", "event_id", "window_secs",
                         F.unix_seconds("ts").alias("e_sec"))
+    second = Window.partitionBy("rule_idx", "key", "cond_idx", "e_sec").orderBy(F.col("ts").desc(), F.col("event_id").desc())
+    ev = ev.withColumn("nth", F.row_number().over(second)).filter(F.col("nth") <= k).drop("nth")
     ev = ev.withColumn("b", F.floor(F.col("e_sec") / width)).drop("window_secs")
     f = fires.select("rule_idx", "key", "sec", "window_secs")
     f = f.withColumn("b", F.explode(F.array(F.floor(F.col("sec") / width),
@@ -291,10 +383,9 @@ def alert_frame(fires: DataFrame, cat: Catalogue, created_at: Column, keep: tupl
     spark = fires.sparkSession
     rules = cat.rules_df(spark).select("rule_idx", "rule_name", "description", "severity", "window_secs",
                                        F.col("n_conds").alias("r_n_conds"))
-    first_gb = spark.createDataFrame(
-        [(r[0], r[10]) for r in cat.condition_rows() if r[7] == 0], "rule_idx int, gb0 string")
+    first_gb = cat.first_keys_df(spark)
     fires = fires.drop("rule_name", "severity", "description", "group_by", "window_secs")
-    j = fires.join(rules, "rule_idx").join(F.broadcast(first_gb), "rule_idx")
+    j = fires.join(rules, "rule_idx").join(first_gb, "rule_idx")
     multi = F.col("r_n_conds") > 1
     gb = F.when(multi, F.lit("src_ip")).otherwise(F.col("gb0"))
     return j.select(

@@ -57,8 +57,9 @@ def correlate_replay(events: DataFrame, cat: Catalogue, geo: DataFrame | None =
                      checkpoint: bool = True) -> DataFrame:
     """Replay every rule over the whole event history -> alert table (incl. chains).
 
-    ``checkpoint``: the fired set feeds several branches (ids, prior score,
-    chains); it is computed once and read back from the checkpoint folder."""
+    ``checkpoint``: the fired set and then the finished alert rows feed several
+    branches (ids, prior score; result, triggers, partners); each is computed once
+    and read back from the checkpoint folder."""
     m = C.match_events(events, cat)
     fired = C.suppress_refires(C.replay_candidates(events, cat, matched=m), ["rule_idx", "key"])
     if checkpoint:
@@ -84,6 +85,8 @@ def correlate_replay(events: DataFrame, cat: Catalogue, geo: DataFrame | None =
     a = _finish(a)
     out = a.select(*ALERT_OUT)
     if with_chains:
+        if checkpoint:  # read as the result, as triggers and as their partners
+            out = materialize(out)
         ch = CH.chains_replay(out, cat).withColumn("prior_score", F.lit(0)).withColumn(
             "geo_text", F.lit("")).withColumn(
             "alert_id", C.alert_id(F.col("rule_name"), F.col("group_value"), F.col("created_at")))
@@ -92,33 +95,39 @@ def correlate_replay(events: DataFrame, cat: Catalogue, geo: DataFrame | None =
 
 
 def correlate_point(events: DataFrame, cat: Catalogue, as_of, history: DataFrame | None = None,
-                    geo: DataFrame | None = None, with_chains: bool = True) -> DataFrame:
+                    geo: DataFrame | None = None, with_chains: bool = True,
+                    reputation: DataFrame | None = None) -> DataFrame:
     """One evaluation at ``as_of``: candidates, dedup against ``history`` (alert
     table), newest-50 ids, prior score (history + earlier rules of this run),
-    geo text, description, chains."""
+    geo text, description, chains.
+
+    ``history`` is read no further back than the widest rule and chain window.
+    The score before this run needs all of it, so frequent runs should give the
+    ``reputation`` table (ip, score: the snapshot that the sink keeps); only
+    without one is it summed from the whole history."""
     a_ts = F.lit(as_of).cast("timestamp")
     pre = C.prefilter_events(events, cat, as_of)
     m = C.in_window(C.match_events(pre, cat), as_of)
     cands = C.point_candidates(events, cat, as_of)
     if history is not None:
-        cands = C.dedup_against_history(cands, history, as_of)
+        cands = C.dedup_against_history(cands, history, as_of, cat.max_window())
     ids = C.top_event_ids(m, EVENT_IDS_PER_ALERT)
     cands = cands.join(ids, ["rule_idx", "key"], "left")
     a = C.alert_frame(cands, cat, a_ts, keep=("event_ids",))
     feed = (F.col("group_by") == "src_ip") & F.col("src_ip").isNotNull() & (F.col("src_ip") != "")
+    # alerts without an address have no score: they stay out of the window and the join
+    rest = a.filter(~F.coalesce(feed, F.lit(False))).withColumn("prior_score", F.lit(0))
     w = Window.partitionBy("src_ip").orderBy("rule_idx").rowsBetween(Window.unboundedPreceding, -1)
-    in_run = F.coalesce(F.sum(F.when(feed, R.severity_delta(F.col("severity")))).over(w), F.lit(0))
-    if history is not None:
-        hist = R.reputation_from_feed(R.reputation_feed(history, cat.tags)).select(
-            F.col("ip").alias("_hip"), F.col("score").alias("_hscore"))
-        a = a.join(hist, a["src_ip"] == hist["_hip"], "left").drop("_hip")
-        base = F.coalesce(F.col("_hscore"), F.lit(0))
+    own = a.filter(feed).withColumn("_run", F.coalesce(F.sum(R.severity_delta(F.col("severity"))).over(w), F.lit(0)))
+    if reputation is None and history is not None:
+        reputation = R.reputation_from_feed(R.reputation_feed(history, cat.tags))
+    if reputation is not None:
+        known = reputation.select(F.col("ip").alias("_hip"), F.col("score").alias("_hscore"))
+        own = own.join(known, own["src_ip"] == known["_hip"], "left").drop("_hip")
     else:
-        base = F.lit(0)
-    a = a.withColumn("prior_score", F.when(feed, F.least(F.lit(R.MAX_SCORE), base + in_run))
-                     .otherwise(F.lit(0)).cast("int"))
-    if history is not None:
-        a = a.drop("_hscore")
+        own = own.withColumn("_hscore", F.lit(0))
+    own = own.withColumn("prior_score", F.least(F.lit(R.MAX_SCORE), F.coalesce("_hscore", F.lit(0)) + F.col("_run")).cast("int"))
+    a = own.drop("_hscore", "_run").unionByName(rest)
     a = _geo_text(a, geo, a_ts)
     a = _finish(a)
     out = a.select(*ALERT_OUT)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -75,14 +78,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, streaming state and hand-over tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared
-    folder there). Only when it is unset, as in local tests, a folder
-    under the system temp dir is created and registered.
+    folder there). Only when it is unset and the master is local, as in tests,
+    a folder under the system temp dir is created and registered, and removed
+    when the process ends; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="loglynx-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -61,6 +61,19 @@ IDS_DEFAULT_SIGNATURE = "Unknown Suricata alert"
 IDS_MESSAGE_PREFIX = "[Suricata] "
 WEB_SCAN_PREFIX = "[WEB SCAN] "
 NETWATCH_DEFAULT_DETAILS = "NetWatch alert: "
+AUTH_FAILURE_TEXT = "Failed login for user '%s' from %s"
+AUTH_SUCCESS_TEXT = "Successful login for user '%s' from %s"
+SUDO_TEXT = "User '%s' ran sudo command: %s"
+USER_CREATED_TEXT = "New user created: '%s'"
+USER_DELETED_TEXT = "User deleted: '%s'"
+SERVICE_STARTED_TEXT = "Service started: "
+OOM_TEXT = "OOM killer invoked — killed process: "
+SEGFAULT_TEXT = "Kernel segfault detected"
+DISK_TEXT = "Disk I/O error detected"
+PAM_TEXT = "PAM authentication failure"
+PAM_USER_TEXT = " for user "
+WEB_TEXT = "%s %s → %d from %s"
+UNKNOWN_DEVICE_TEXT = "Unknown device detected — MAC: %s | Vendor: %s | IP: %s"
 # ---------------------------------------------------------------------------
 
 IDS_SCHEMA = T.StructType([
@@ -120,6 +133,11 @@ class ParseOptions:
         self.extract_pam_user = extract_pam_user
         self.web_scan_threshold = web_scan_threshold
 
+    def need_year(self, source: str) -> None:
+        """Stamps of syslog-style lines have no year."""
+        if self.default_year is None and self.ingest_ts is None:
+            raise ValueError(f"{source} stamps have no year: give default_year or ingest_ts")
+
     def ts(self, raw: Column) -> Column:
         ingest = self.ingest_ts
         if ingest is not None and not isinstance(ingest, Column):
@@ -134,7 +152,14 @@ def read_lines(spark: SparkSession, paths, stream: bool = False, **opts) -> Data
         reader = reader.option(k, v)
     if isinstance(paths, str):
         paths = [paths]
-    df = reader.text(paths[0]) if stream else reader.text(list(paths))
+    if stream:  # a streaming reader takes one path: one stream each, unioned
+        df = reduce(lambda a, b: a.unionByName(b), [_lines_of(reader.text(p)) for p in paths])
+    else:
+        df = _lines_of(reader.text(list(paths)))
+    return df
+
+
+def _lines_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
 
 
@@ -174,27 +199,52 @@ def _x(line: Column, pattern: str, idx: int) -> Column:
     return F.regexp_extract(line, pattern, idx)
 
 
-_SEP = "\u0001"
+# Java's ``.`` and ``$`` also stop at U+0085, U+2028 and U+2029; with UNIX_LINES only \n
+# ends a line, so such characters are ordinary ones, for detection and extraction alike
+_UNIX_LINES = "(?d)"
+_SEP, _ESC = "\u0001", "\u0002"
+
+
+def _matches(line: Column, pattern: str) -> Column:
+    return line.rlike(_UNIX_LINES + pattern)
 
 
 def _groups(line: Column, pattern: str, n: int) -> Column:
     """Groups 1..n of an anchored pattern in ONE regex pass: the matched line is
-    rewritten to the groups joined by a control character, then split.
-    Only for lines known to match ``pattern``."""
+    rewritten to the groups joined by a control character, then split.  A line
+    that holds that character itself has it escaped first and restored in each
+    field.  Only for lines known to match ``pattern``; fields are taken with
+    ``_field``."""
     repl = _SEP.join(f"${i}" for i in range(1, n + 1))
-    return F.split(F.regexp_replace(line, pattern + ".*$", repl), _SEP)
+
+    def cut(x: Column) -> Column:
+        return F.split(F.regexp_replace(x, _UNIX_LINES + pattern + "(?s:.*)$", repl), _SEP)
+
+    def restore(x: Column) -> Column:
+        return F.replace(F.replace(x, F.lit(_ESC + "a"), F.lit(_SEP)), F.lit(_ESC + "b"), F.lit(_ESC))
+
+    escaped = F.replace(F.replace(line, F.lit(_ESC), F.lit(_ESC + "b")), F.lit(_SEP), F.lit(_ESC + "a"))
+    odd = line.contains(_SEP) | line.contains(_ESC)
+    return F.when(odd, F.transform(cut(escaped), restore)).otherwise(cut(line))
+
+
+def _field(g: Column, i: int) -> Column:
+    """Group i + 1 of ``_groups``; null if there is none."""
+    return F.try_element_at(g, F.lit(i + 1))
 
 
 def _kind(line: Column, patterns: dict) -> Column:
     expr = None
     for name, pat in patterns.items():
-        expr = (F.when(line.rlike(pat), name) if expr is None else expr.when(line.rlike(pat), name))
+        hit = _matches(line, pat)
+        expr = F.when(hit, name) if expr is None else expr.when(hit, name)
     return expr
 
 
 def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     """Auth log lines -> auth_failure / auth_success / sudo_command / user_created / user_deleted."""
     opts = opts or ParseOptions()
+    opts.need_year("auth")
     P = AUTH_PATTERNS
     df = lines.select("file_path", strip(F.col("value")).alias("line"))
     df = df.withColumn("kind", _kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
@@ -208,18 +258,18 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
         groups = F.when(kind == name, g) if groups is None else groups.when(kind == name, g)
     df = df.withColumn("g", groups)
     g = F.col("g")
-    user = F.when(kind == "user_created", F.regexp_replace(g[1], ",$", "")).otherwise(g[1])  # "name=x," -> x
-    ip = F.when(kind.isin("auth_failure", "auth_success"), g[2])
-    command = F.when(kind == "sudo_command", strip(g[2]))
+    user = F.when(kind == "user_created", F.regexp_replace(_field(g, 1), ",$", "")).otherwise(_field(g, 1))  # "name=x," -> x
+    ip = F.when(kind.isin("auth_failure", "auth_success"), _field(g, 2))
+    command = F.when(kind == "sudo_command", strip(_field(g, 2)))
     df = df.select("file_path", "line", "kind", user.alias("user"), ip.alias("src_ip"),
-                   command.alias("command"), g[0].alias("ts_raw"))
+                   command.alias("command"), _field(g, 0).alias("ts_raw"))
     u, ipc, cmd = F.col("user"), F.col("src_ip"), F.col("command")
     message = (
-        F.when(kind == "auth_failure", F.format_string("Failed login for user '%s' from %s", u, ipc))
-        .when(kind == "auth_success", F.format_string("Successful login for user '%s' from %s", u, ipc))
-        .when(kind == "sudo_command", F.format_string("User '%s' ran sudo command: %s", u, cmd))
-        .when(kind == "user_created", F.format_string("New user created: '%s'", u))
-        .otherwise(F.format_string("User deleted: '%s'", u))
+        F.when(kind == "auth_failure", F.format_string(AUTH_FAILURE_TEXT, u, ipc))
+        .when(kind == "auth_success", F.format_string(AUTH_SUCCESS_TEXT, u, ipc))
+        .when(kind == "sudo_command", F.format_string(SUDO_TEXT, u, cmd))
+        .when(kind == "user_created", F.format_string(USER_CREATED_TEXT, u))
+        .otherwise(F.format_string(USER_DELETED_TEXT, u))
     )
     severity = (
         F.when(kind == "user_created", "MEDIUM")
@@ -245,6 +295,7 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
 def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     """System log lines -> service_start / service_stop / system_error / auth_failure (PAM)."""
     opts = opts or ParseOptions()
+    opts.need_year("syslog")
     P = SYSLOG_PATTERNS
     df = lines.select("file_path", strip(F.col("value")).alias("line"))
     df = df.withColumn("kind", _kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
@@ -257,15 +308,15 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
         groups = F.when(kind == name, g) if groups is None else groups.when(kind == name, g)
     df = df.withColumn("g", groups)
     g = F.col("g")
-    service = F.when(kind == "service_start", g[1]).when(kind == "service_stop", g[2])
-    action = F.when(kind == "service_stop", g[1])
-    process = F.when(kind == "oom", g[1])
+    service = F.when(kind == "service_start", _field(g, 1)).when(kind == "service_stop", _field(g, 2))
+    action = F.when(kind == "service_stop", _field(g, 1))
+    process = F.when(kind == "oom", _field(g, 1))
     pam_user = F.lit(None).cast("string")
     if opts.extract_pam_user:
         pam_user = F.nullif(_x(line, PAM_USER, 1), F.lit(""))
     user = F.when(kind == "pam_failure", pam_user)
     df = df.select("file_path", "line", "kind", service.alias("service"), action.alias("action"),
-                   process.alias("process"), user.alias("user"), g[0].alias("ts_raw"),
+                   process.alias("process"), user.alias("user"), _field(g, 0).alias("ts_raw"),
                    _x(line, "^" + TS + r"\s+(\S+)", 2).alias("host"))
     svc, act, proc, u, host = F.col("service"), F.col("action"), F.col("process"), F.col("user"), F.col("host")
     event_type = (
@@ -281,13 +332,13 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
         .otherwise("MEDIUM")
     )
     message = (
-        F.when(kind == "service_start", F.concat(F.lit("Service started: "), svc))
+        F.when(kind == "service_start", F.concat(F.lit(SERVICE_STARTED_TEXT), svc))
         .when(kind == "service_stop", F.concat(F.lit("Service "), F.lower(act), F.lit(": "), svc))
-        .when(kind == "oom", F.concat(F.lit("OOM killer invoked — killed process: "), proc))
-        .when(kind == "segfault", F.lit("Kernel segfault detected"))
-        .when(kind == "disk_error", F.lit("Disk I/O error detected"))
-        .otherwise(F.concat(F.lit("PAM authentication failure"),
-                            F.coalesce(F.concat(F.lit(" for user "), u), F.lit(""))))
+        .when(kind == "oom", F.concat(F.lit(OOM_TEXT), proc))
+        .when(kind == "segfault", F.lit(SEGFAULT_TEXT))
+        .when(kind == "disk_error", F.lit(DISK_TEXT))
+        .otherwise(F.concat(F.lit(PAM_TEXT),
+                            F.coalesce(F.concat(F.lit(PAM_USER_TEXT), u), F.lit(""))))
     )
     # the host goes into extra so rules can key system events by host (syslog
     # lines carry no address)
@@ -318,17 +369,17 @@ def parse_web_lines(lines: DataFrame, source: str = "nginx", opts: ParseOptions
     """Combined access log lines -> web_access / web_error rows plus ``status`` (no relabel)."""
     opts = opts or ParseOptions()
     line = F.col("line")
-    df = lines.select("file_path", strip(F.col("value")).alias("line")).filter(line.rlike(WEB_PATTERN))
+    df = lines.select("file_path", strip(F.col("value")).alias("line")).filter(_matches(line, WEB_PATTERN))
     # one regex pass for all six fields (instead of one regexp_extract per field)
     g = _groups(line, WEB_PATTERN, 6)
     df = df.select("file_path", "line", g.alias("g")).select(
         "file_path", "line",
-        F.col("g")[0].alias("src_ip"),
-        F.when(F.col("g")[1] != "-", F.col("g")[1]).alias("user"),
-        F.col("g")[2].alias("ts_raw"),
-        F.col("g")[3].alias("method"),
-        F.col("g")[4].alias("path"),
-        F.col("g")[5].cast("int").alias("status"),
+        _field(F.col("g"), 0).alias("src_ip"),
+        F.when(_field(F.col("g"), 1) != "-", _field(F.col("g"), 1)).alias("user"),
+        _field(F.col("g"), 2).alias("ts_raw"),
+        _field(F.col("g"), 3).alias("method"),
+        _field(F.col("g"), 4).alias("path"),
+        _field(F.col("g"), 5).try_cast("int").alias("status"),
     )
     st = F.col("status")
     return df.select(
@@ -336,7 +387,7 @@ def parse_web_lines(lines: DataFrame, source: str = "nginx", opts: ParseOptions
         F.lit(source).alias("source"),
         F.when(st < 400, "web_access").otherwise("web_error").alias("event_type"),
         web_severity(st).alias("severity"),
-        F.format_string("%s %s → %d from %s", F.col("method"), F.col("path"), st, F.col("src_ip")).alias("message"),
+        F.format_string(WEB_TEXT, F.col("method"), F.col("path"), st, F.col("src_ip")).alias("message"),
         F.col("src_ip"),
         F.lit(None).cast("string").alias("dst_ip"),
         F.col("user"),
@@ -418,11 +469,11 @@ def parse_ids(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
 
 
 def netwatch_records(recs: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
-    """Network-monitor records (column ``r`` of NETWATCH_RECORD, plus file_path) -> events."""
+    """Network-monitor records (column ``r`` of NETWATCH_RECORD, the whole record's text ``rec``, file_path)
+    -> events; raw and extra keep the whole record."""
     opts = opts or ParseOptions()
     r = F.col("r")
     raw_type = F.upper(F.coalesce(r["type"], F.lit("UNKNOWN")))
-    rec_json = F.to_json(r, _JSON_OPTS)
     out = recs.select(
         opts.ts(F.coalesce(r["timestamp"], F.lit(""))).alias("ts"),
         F.lit("netwatch").alias("source"),
@@ -432,15 +483,15 @@ def netwatch_records(recs: DataFrame, opts: ParseOptions | None = None) -> DataF
         r["src_ip"].alias("src_ip"),
         F.lit(None).cast("string").alias("dst_ip"),
         F.lit(None).cast("string").alias("user"),
-        rec_json.alias("raw"),
-        rec_json.alias("extra"),
+        F.col("rec").alias("raw"),
+        F.col("rec").alias("extra"),
         F.col("file_path"),
     )
     return finish_events(out, opts)
 
 
 def homeguard_records(recs: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
-    """Device-monitor records (column ``r`` of HOMEGUARD_RECORD) -> unknown_device / HIGH events."""
+    """Device-monitor records (column ``r`` of HOMEGUARD_RECORD, the record's text ``rec``) -> unknown_device / HIGH events."""
     opts = opts or ParseOptions()
     r = F.col("r")
     mac = F.coalesce(r["mac"], F.lit("unknown"))
@@ -450,12 +501,11 @@ def homeguard_records(recs: DataFrame, opts: ParseOptions | None = None) -> Data
         F.lit("homeguard").alias("source"),
         F.lit("unknown_device").alias("event_type"),
         F.lit("HIGH").alias("severity"),
-        F.format_string("Unknown device detected — MAC: %s | Vendor: %s | IP: %s",
-                        mac, vendor, F.coalesce(r["ip"], F.lit("None"))).alias("message"),
+        F.format_string(UNKNOWN_DEVICE_TEXT, mac, vendor, F.coalesce(r["ip"], F.lit("None"))).alias("message"),
         r["ip"].alias("src_ip"),
         F.lit(None).cast("string").alias("dst_ip"),
         F.lit(None).cast("string").alias("user"),
-        F.to_json(r, _JSON_OPTS).alias("raw"),
+        F.col("rec").alias("raw"),
         F.to_json(F.struct(mac.alias("mac"), vendor.alias("vendor")), _JSON_OPTS).alias("extra"),
         F.col("file_path"),
     )
@@ -466,34 +516,47 @@ JSON_RECORD_SCHEMAS = {"netwatch": NETWATCH_RECORD, "homeguard": HOMEGUARD_RECOR
 JSON_RECORD_MAPPERS = {"netwatch": netwatch_records, "homeguard": homeguard_records}
 
 
+def _is_record(text: Column) -> Column:
+    """Is the text a JSON object?"""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+
+
+def _typed_records(recs: DataFrame, source: str, opts: ParseOptions | None) -> DataFrame:
+    """``recs`` (file_path, rec: a record's text) -> events of the records that are JSON objects."""
+    good = recs.filter(_is_record(F.col("rec")))
+    return JSON_RECORD_MAPPERS[source](good.withColumn("r", F.from_json("rec", JSON_RECORD_SCHEMAS[source])), opts)
+
+
+def json_alert_texts(spark: SparkSession, paths) -> DataFrame:
+    """(file_path, rec): the text of every record of JSON alert files."""
+    if isinstance(paths, str):
+        paths = [paths]
+    df = _lines_of(spark.read.option("wholetext", True).text(list(paths)))
+    v = strip(F.col("value"))
+    listed = F.from_json(v, "array<string>")
+    wrapped = F.from_json(v, "alerts array<string>")["alerts"]
+    recs = F.when(v.startswith("["), listed).when(wrapped.isNotNull(), wrapped)
+    return df.select("file_path", F.explode(recs).alias("rec"))
+
+
 def read_json_alerts(spark: SparkSession, paths, source: str, opts: ParseOptions | None = None) -> DataFrame:
     """JSON alert files: a top-level array of records or ``{"alerts": [...]}``.
 
-    Unknown ``source`` raises ValueError.  Both shapes are read with one
-    schema (record fields + ``alerts`` array) and exploded; an object
-    without records yields no rows.
+    Unknown ``source`` raises ValueError; an object without ``alerts`` yields no
+    rows, and records that are not objects yield no event (see ``rejects``).
+    One file is one JSON value and so one task: a limit of the format.  Bulk data
+    belongs in the line form (``json_lines_records``), which splits.
     """
     if source not in JSON_RECORD_SCHEMAS:
         raise ValueError(f"Unknown JSON source: {source}")
-    rec = JSON_RECORD_SCHEMAS[source]
-    schema = T.StructType(list(rec.fields) + [T.StructField("alerts", T.ArrayType(rec))])
-    if isinstance(paths, str):
-        paths = [paths]
-    df = spark.read.schema(schema).option("multiLine", True).json(list(paths))
-    flat = F.struct(*[F.col(f.name) for f in rec.fields])
-    any_flat = reduce(lambda a, b: a | b, [F.col(f.name).isNotNull() for f in rec.fields])
-    recs = F.when(F.col("alerts").isNotNull(), F.col("alerts")).when(any_flat, F.array(flat))
-    df = df.select(F.col("_metadata.file_path").alias("file_path"), F.explode(recs).alias("r"))
-    return JSON_RECORD_MAPPERS[source](df, opts)
+    return _typed_records(json_alert_texts(spark, paths), source, opts)
 
 
 def json_lines_records(lines: DataFrame, source: str, opts: ParseOptions | None = None) -> DataFrame:
-    """Same mappers over NDJSON lines (one record per line), for streams."""
+    """Same mappers over NDJSON lines (one record per line), for streams and bulk data."""
     if source not in JSON_RECORD_SCHEMAS:
         raise ValueError(f"Unknown JSON source: {source}")
-    df = lines.select("file_path", F.from_json(strip(F.col("value")), JSON_RECORD_SCHEMAS[source]).alias("r"))
-    df = df.filter(F.col("r").isNotNull())
-    return JSON_RECORD_MAPPERS[source](df, opts)
+    return _typed_records(lines.select("file_path", strip(F.col("value")).alias("rec")), source, opts)
 
 
 # Line-parser registry: source kind -> (lines DataFrame, options) -> events.
@@ -508,6 +571,28 @@ LINE_PARSERS = {
 }
 
 
+def rejects(kind: str, lines: DataFrame) -> DataFrame:
+    """the lines (of any source kind) that give no event: kind, file_path, value, reason.
+
+    ``no_pattern``: a text line that no pattern of its source matches; ``not_json``: a line
+    of a JSON source that is no JSON object; ``not_an_alert``: a record of the intrusion
+    detector of another type.  Blank lines are no records and are left out.
+    """
+    line = strip(F.col("value"))
+    if kind in ("auth", "syslog"):
+        reason = F.when(_kind(line, AUTH_PATTERNS if kind == "auth" else SYSLOG_PATTERNS).isNull(), "no_pattern")
+    elif kind in ("apache", "nginx"):
+        reason = F.when(~_matches(line, WEB_PATTERN), "no_pattern")
+    elif kind == "suricata":
+        of = F.get_json_object(line, "$.event_type")
+        reason = F.when(~_is_record(line), "not_json").when(of.isNull() | (of != "alert"), "not_an_alert")
+    elif kind in JSON_RECORD_SCHEMAS:
+        reason = F.when(~_is_record(line), "not_json")
+    else:
+        raise ValueError(f"Unknown source kind: {kind}")
+    return lines.filter(line != "").select(F.lit(kind).alias("kind"), "file_path", "value", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def parse_kind(kind: str, lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     if kind not in LINE_PARSERS:
         raise ValueError(f"Unknown source kind: {kind}")
@@ -534,14 +619,16 @@ def ingest(spark: SparkSession, sources: dict, opts: ParseOptions | None = None)
 
 
 def ingest_counts(events: DataFrame) -> DataFrame:
-    """Rows per (source, file) plus a total row (source/file null)."""
-    return (
-        events.groupBy("source", "file_path").agg(F.count(F.lit(1)).alias("n_events"))
-        .unionByName(events.agg(F.count(F.lit(1)).alias("n_events"))
-                     .select(F.lit(None).cast("string").alias("source"),
-                             F.lit(None).cast("string").alias("file_path"), "n_events"))
-    )
-
-
-def event_columns(df: DataFrame) -> DataFrame:
-    return df.select(*EVENT_COLUMNS)
+    """Rows per (source, file) plus a total row (source/file null), in one pass over the events.
+    A source or file that is null counts as such, and is not mistaken for the total."""
+    per_file = events.groupBy("source", "file_path").agg(F.count(F.lit(1)).alias("n_events"))
+    # per_file has a row per file: each gives itself and its share of the total
+    both = per_file.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("total"), "source", "file_path", "n_events"),
+        F.struct(F.lit(1).alias("total"), F.lit(None).cast("string").alias("source"),
+                 F.lit(None).cast("string").alias("file_path"), F.col("n_events")))).alias("x")).select("x.*")
+    none = events.sparkSession.range(1).select(  # no events: a total of 0
+        F.lit(1).alias("total"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("file_path"),
+        F.lit(0).cast("long").alias("n_events"))
+    out = both.unionByName(none).groupBy("total", "source", "file_path").agg(F.sum("n_events").alias("n_events"))
+    return out.select("source", "file_path", "n_events")
