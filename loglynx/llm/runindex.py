@@ -22,8 +22,10 @@ Scale.  The tables that are dealt hold anchors (one in about seventy bytes), not
 counting them needs a row for each and task.  Lists of repeated anchors, class members
 and spans meet the texts by broadcast up to a measured number of rows and by shuffle
 beyond.  An anchor with more than ``max_classes`` classes (a passage in very many
-documents) is not gathered: its strings are hashed one by one and counted, which gives
-the same result.
+documents) has no index of bytes: its contexts are aligned at the anchor, so for each
+offset the strings are told apart by the ranks of their left and right parts in sorted
+order.  Beyond ``max_aligned`` classes nothing is gathered: the strings are hashed one
+by one and counted.  All three ways give the same result.
 
 Defined cases: null texts are empty; texts under ``length`` bytes keep everything; rows
 with equal texts (of ``length`` bytes or more) lose all of it, whether their ids differ
@@ -48,7 +50,9 @@ from loglynx.llm.common import cut, join_hot
 LENGTH, ANCHOR = 400, 256
 INDEX_BYTES = 3 << 19  # text of one index
 MAX_CLASSES = 4096
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_ALIGNED = 200_000
+MAX_BROADCAST_ROWS = 1_000_000  # of anchors or spans
+MAX_BROADCAST_MEMBERS = 100_000
 SEPARATOR = 255  # in no UTF-8 text
 
 
@@ -253,22 +257,76 @@ def _mark_batch(out: list[tuple]) -> pa.RecordBatch:
                                        pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["h", "cid", "a", "b"])
 
 
-def index_marks(contexts: DataFrame, length: int) -> DataFrame:
-    """Runs of repeated starts of each class, from the indexes of whole anchors."""
+def _ranks(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, lengths, common prefix of each string with the one before it in order)."""
+    order = np.array(sorted(range(len(parts)), key=parts.__getitem__), np.int64)
+    size = np.fromiter(map(len, parts), np.int64, len(parts))
+    wide = max(1, int(size.max()))
+    grid = np.frombuffer(b"".join(p.ljust(wide, b"\0") for p in (parts[i] for i in order.tolist())), np.uint8).reshape(len(parts), wide)
+    lcp = np.zeros(len(parts), np.int64)
+    for at in range(1, len(parts), 8192):  # bounded memory
+        a, b = grid[at - 1:at + 8191][: len(grid[at:at + 8192])], grid[at:at + 8192]
+        diff = a != b
+        lcp[at:at + len(b)] = np.where(diff.any(1), diff.argmax(1), wide)
+    lcp[1:] = np.minimum(lcp[1:], np.minimum(size[order][1:], size[order][:-1]))
+    return order, size, lcp
+
+
+def aligned_group(rows: list[tuple], length: int) -> list[tuple]:
+    """The marks of one anchor's classes, ``rows`` as in ``index_groups``.
+
+    A string that starts j bytes before the anchor is its left part of j bytes and its right part of
+    length - j bytes.  Parts of equal bytes are runs of the sorted parts with common prefixes that long."""
+    n = len(rows)
+    left = [r[6][:-r[4]][::-1] for r in rows]
+    right = [r[6][-r[4]:] for r in rows]
+    (lo_order, lo_size, lo_lcp), (ro, r_size, r_lcp) = _ranks(left), _ranks(right)
+    reach = max(-r[4] for r in rows)
+    hit = np.zeros((n, reach + 1), bool)
+    lid, rid = np.empty(n, np.int64), np.empty(n, np.int64)
+    for j in range(reach + 1):
+        lid[lo_order] = np.cumsum(lo_lcp < j)
+        rid[ro] = np.cumsum(r_lcp < length - j)
+        here = np.flatnonzero((lo_size >= j) & (r_size >= length - j))
+        key = lid[here] * (n + 1) + rid[here]
+        order = np.argsort(key)
+        same = key[order][1:] == key[order][:-1]
+        twice = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(here) else same
+        hit[here[order[twice]], reach - j] = True  # columns by start, ascending
+    out = []
+    for r, mine in zip(rows, hit):
+        if mine.any():
+            edge = np.flatnonzero(np.diff(np.concatenate([[False], mine, [False]]).astype(np.int8)))
+            out += [(r[0], r[1], int(a) - reach, int(b) - 1 - reach) for a, b in zip(edge[::2], edge[1::2])]
+    return out
+
+
+def group_marks(contexts: DataFrame, length: int, max_classes: int) -> DataFrame:
+    """Runs of repeated starts of each class, from indexes of whole anchors; anchors with more classes by alignment."""
+
+    def work(held: list[list[tuple]]):
+        small = [r for g in held if len(g) <= max_classes for r in g]
+        out = index_groups(small, length) if small else []
+        for g in held:
+            if len(g) > max_classes:
+                out += aligned_group(g, length)
+        if out:
+            yield _mark_batch(out)
 
     def run(batches):
-        held, size = [], 0
+        held, size = [], 0  # whole anchors, the last still growing
         for batch in batches:
             cols = [batch.column(i) for i in range(7)]
             for r in zip(*(c.to_pylist() for c in cols)):
-                if size >= INDEX_BYTES and r[0] != held[-1][0]:
-                    if out := index_groups(held, length):
-                        yield _mark_batch(out)
-                    held, size = [], 0
-                held.append(r)
+                if not held or r[0] != held[-1][0][0]:
+                    if size >= INDEX_BYTES:
+                        yield from work(held)
+                        held, size = [], 0
+                    held.append([])
+                held[-1].append(r)
                 size += len(r[6])
-        if held and (out := index_groups(held, length)):
-            yield _mark_batch(out)
+        if held:
+            yield from work(held)
 
     return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, MARKS)
 
@@ -304,20 +362,24 @@ def _small(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def _spans(starts: DataFrame, length: int) -> DataFrame:
-    """``starts`` (key, a, b: runs of repeated starts) -> key, spans: the maximal runs of covered bytes, in order."""
-    merged = F.aggregate(
-        F.array_sort(F.collect_set(F.struct("a", (F.col("b") + length).alias("b")))),
-        F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)"),
+def _merged(runs):
+    """An array of (a, b), b exclusive, as its maximal runs, in order."""
+    return F.aggregate(
+        F.array_sort(runs), F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)"),
         lambda acc, x: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["b"] >= x["a"]),
                               F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
                                   F.try_element_at(acc, F.lit(-1))["a"].alias("a"),
                                   F.greatest(F.try_element_at(acc, F.lit(-1))["b"], x["b"]).alias("b")))))
         .otherwise(F.concat(acc, F.array(F.struct(x["a"].cast("long").alias("a"), x["b"].cast("long").alias("b"))))))
+
+
+def _spans(starts: DataFrame, length: int) -> DataFrame:
+    """``starts`` (key, a, b: runs of repeated starts) -> key, spans: the maximal runs of covered bytes, in order."""
+    merged = _merged(F.collect_set(F.struct("a", (F.col("b") + length).alias("b"))))
     return starts.groupBy("key").agg(merged.alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, max_classes: int = MAX_CLASSES,
+def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, max_classes: int = MAX_CLASSES, max_aligned: int = MAX_ALIGNED,
                    max_broadcast: int = MAX_BROADCAST_ROWS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges removed)."""
     if not 8 <= anchor <= length:
@@ -336,24 +398,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     classes = cut(places.groupBy("h", "cid", "lo", "hi", "several").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "pos")).alias("m")))
     whole = classes.where("n > 1").select("h", "cid", F.col("lo").alias("a"), F.col("hi").alias("b"))
-    crowd = classes.where("several").groupBy("h").count().where(F.col("count") > max_classes).select("h", F.lit(True).alias("crowded"))
+    crowd = classes.where("several").groupBy("h").count().where(F.col("count") > max_aligned).select("h", F.lit(True).alias("crowded"))
     members = cut(classes.where("several").join(_small(cut(crowd), max_broadcast), "h", "left").select(
-        "h", "cid", "lo", "hi", "n", "crowded", F.col("m.key").alias("key"), F.col("m.pos").alias("pos")))
-    wanted = members.groupBy("key").agg(F.collect_list(F.struct("h", "cid", "lo", "hi", "n", "crowded", "pos")).alias("w"))
-    texts = long.select("key", "text").join(_small(cut(wanted), max_broadcast), "key")
+        "h", "cid", "lo", "hi", "crowded", F.col("m.key").alias("key"), F.col("m.pos").alias("pos")))
+    wanted = members.groupBy("key").agg(F.collect_list(F.struct("h", "cid", "lo", "hi", "crowded", "pos")).alias("w"))
+    if members.count() <= min(max_broadcast, MAX_BROADCAST_MEMBERS):
+        wanted = F.broadcast(wanted)
+    texts = long.select("key", "text").join(wanted, "key")
     contexts = texts.select("key", F.encode("text", "utf-8").alias("bytes"), F.explode("w").alias("w")).select(
         "w.h", "w.cid", "key", "w.pos", "w.lo", "w.hi", F.substring("bytes", (F.col("w.pos") + F.col("w.lo") + 1).cast("int"),
                                                              (F.col("w.hi") - F.col("w.lo") + length).cast("int")).alias("ctx"), "w.crowded")
     contexts = contexts.dropDuplicates(["h", "cid"])  # equal texts give their member's context more than once
-    marks = cut(index_marks(contexts.where("crowded is null").drop("crowded"), length))
+    marks = group_marks(contexts.where("crowded is null").drop("crowded"), length, max_classes)
     if not crowd.isEmpty():
-        marks = marks.unionByName(cut(string_marks(contexts.where("crowded").drop("crowded"), length)))
-    marks = cut(marks.unionByName(whole).groupBy("h", "cid").agg(F.collect_set(F.struct("a", "b")).alias("runs")))
+        marks = marks.unionByName(string_marks(contexts.where("crowded").drop("crowded"), length))
+    # a class has few maximal runs of starts, and at most one for each start
+    marks = cut(marks.unionByName(whole).groupBy("h", "cid").agg(_merged(F.collect_set(F.struct("a", (F.col("b") + 1).alias("b")))).alias("runs")))
 
     hit = join_hot(places.withColumn("class", F.struct("h", "cid")), marks.join(classes.select("h", "cid", "n"), ["h", "cid"]).select(
         F.struct("h", "cid").alias("class"), "runs", "n"), "class", "n", places.count())
     starts = hit.where("runs is not null").select("key", "pos", F.explode("runs").alias("r")).select(
-        "key", (F.col("pos") + F.col("r.a")).alias("a"), (F.col("pos") + F.col("r.b")).alias("b"))
+        "key", (F.col("pos") + F.col("r.a")).alias("a"), (F.col("pos") + F.col("r.b") - 1).alias("b"))
     copies = long.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("size")).where("n > 1")
     starts = starts.unionByName(copies.select("key", F.lit(0).cast("long").alias("a"), (F.col("size") - length).cast("long").alias("b")))
     spans = cut(_spans(starts, length))

@@ -83,7 +83,7 @@ def rows_with_repeats():
     return [(i if i % 9 else None, t) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("options", [{}, {"max_broadcast": 0}, {"max_classes": 3}])
+@pytest.mark.parametrize("options", [{}, {"max_broadcast": 0}, {"max_classes": 3}, {"max_classes": 0}, {"max_classes": 0, "max_aligned": 3}])
 def test_removal_against_brute_force(spark, options):
     df = spark.createDataFrame(rows_with_repeats(), "doc_id long, text string").repartition(3)
     got = R.remove_repeats(df, length=24, anchor=12, **options)
