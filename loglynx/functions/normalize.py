@@ -49,10 +49,6 @@ def strip(x: Column | str) -> Column:
     return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
 
 
-def blank_to_null(x: Column | str) -> Column:
-    return F.nullif(_c(x), F.lit(""))
-
-
 def coerce_source(x: Column | str) -> Column:
     c = _c(x)
     return F.when(c.isin(*SOURCES), c).otherwise(F.lit("manual"))
@@ -157,7 +153,10 @@ def web_severity(status: Column | str, count: Column | int = 1) -> Column:
 
 def ids_severity(sev: Column | str) -> Column:
     s = _c(sev)
-    return F.when(s == 1, "HIGH").when(s == 2, "MEDIUM").when(s == 3, "LOW").otherwise("MEDIUM")
+    label = F.lit("MEDIUM")
+    for number, name in IDS_SEVERITY.items():
+        label = F.when(s == number, name).otherwise(label)
+    return label
 
 
 def ids_event_type(signature: Column | str, category: Column | str) -> Column:

@@ -42,10 +42,12 @@ def chain_alert_rows(c: DataFrame, created_at: Column) -> DataFrame:
     )
 
 
-def chain_candidates_replay(alerts: DataFrame, cat: Catalogue, triggers: DataFrame | None = None) -> DataFrame:
+def chain_candidates_replay(alerts: DataFrame, cat: Catalogue, triggers: DataFrame | None = None,
+                            same_moment: bool = True) -> DataFrame:
     """Every non-chain alert that triggers a chain whose ``then`` rule alerted
     for the same address within [t - Wc, t] (at t itself any key matches).
-    ``triggers`` (default: ``alerts``) limits which alerts act as triggers.
+    ``triggers`` (default: ``alerts``) limits which alerts act as triggers;
+    without ``same_moment`` only earlier, address-keyed alerts are partners.
 
     -> chain_idx, chain_name, severity, description, window_secs, ip, sec."""
     spark = alerts.sparkSession
@@ -71,6 +73,8 @@ def chain_candidates_replay(alerts: DataFrame, cat: Catalogue, triggers: DataFra
     cond = ((trig["chain_idx"] == then["t_chain"]) & (trig["ip"] == then["t_ip"]) & (trig["b"] == then["t_b"])
             & (then["t_sec"] <= trig["sec"]) & (then["t_sec"] >= trig["sec"] - trig["window_secs"])
             & ((then["t_gb"] == "src_ip") | (then["t_sec"] == trig["sec"])))
+    if not same_moment:
+        cond = cond & (then["t_sec"] < trig["sec"]) & (then["t_gb"] == "src_ip")
     return trig.join(then, cond, "left_semi").drop("b")
 
 

@@ -18,6 +18,8 @@ URGENCY = {"LOW": "low", "MEDIUM": "normal", "HIGH": "normal", "CRITICAL": "crit
 ICON_WARNING = "dialog-warning"
 ICON_INFO = "dialog-information"
 DEFAULT_MIN_SEVERITY = "HIGH"
+TITLE_TEXT = "[%s] %s — %s"
+BODY_RULE, BODY_IP, BODY_DETAIL, BODY_NO_IP = "Rule   : ", "\nIP     : ", "\nDetail : ", "None"
 # ---------------------------------------------------------------------------
 
 
@@ -42,9 +44,9 @@ def outbox(alerts: DataFrame, min_severity: str = DEFAULT_MIN_SEVERITY, app_name
                      F.lit("normal"))
     out = alerts.select(
         "alert_id", "created_at", "rule_name", "severity",
-        F.format_string("[%s] %s — %s", sev, F.lit(app_name), title_case(F.col("rule_name"))).alias("title"),
-        F.concat(F.lit("Rule   : "), F.col("rule_name"), F.lit("\nIP     : "),
-                 F.coalesce(F.col("src_ip"), F.lit("None")), F.lit("\nDetail : "),
+        F.format_string(TITLE_TEXT, sev, F.lit(app_name), title_case(F.col("rule_name"))).alias("title"),
+        F.concat(F.lit(BODY_RULE), F.col("rule_name"), F.lit(BODY_IP),
+                 F.coalesce(F.col("src_ip"), F.lit(BODY_NO_IP)), F.lit(BODY_DETAIL),
                  F.col("description")).alias("body"),
         urg.alias("urgency"),
         F.when(sev.isin("HIGH", "CRITICAL"), ICON_WARNING).otherwise(ICON_INFO).alias("icon"),

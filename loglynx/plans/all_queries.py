@@ -5,3 +5,4 @@ from . import alert_queries  # noqa: F401
 from . import parse_queries  # noqa: F401
 from . import serve_queries  # noqa: F401
 from . import stream_queries  # noqa: F401
+from . import robust_queries  # noqa: F401

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import severity_level
@@ -35,13 +35,24 @@ def events_query(events: DataFrame, since=None, source: str | None = None, event
 
 
 def count_events(events: DataFrame, event_type: str, since, src_ip: str | None = None) -> DataFrame:
-    """A4: events of a type since a moment, per address (or for one address)."""
+    """A4: events of a type since a moment, per address; for one address one row, 0 if it has none."""
     df = events.filter((F.col("event_type") == event_type) & (F.col("ts") >= F.lit(since).cast("timestamp")))
     if src_ip:
-        df = df.filter(F.col("src_ip") == src_ip)
+        one = df.filter(F.col("src_ip") == src_ip).agg(F.count(F.lit(1)).alias("n_events"))
+        return one.select(F.lit(src_ip).alias("src_ip"), "n_events")
     return df.groupBy("src_ip").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+def display_name(x: Column) -> Column:
+    """``_`` shown as a space (rule and event type names in lists)."""
+    return F.replace(x, F.lit("_"), F.lit(" "))
+
+
+def display_time(ts: Column) -> Column:
+    """HH:mm:ss of a moment (the lists' time column)."""
+    return F.date_format(ts, "HH:mm:ss")
+
+
 def with_acks(alerts: DataFrame, acks: DataFrame) -> DataFrame:
     """``acknowledged`` flag from the append-only ack table (repeat acks and
     acks of unknown ids are harmless: the ack side is made distinct)."""

@@ -102,22 +102,80 @@ def stream_sliding_counts(spark, sf_dir):
 
 
 @query("stream_web_scan", f"WITH {tb.SQL_EVENT_VIEW}" + f"""
-SELECT 'nginx' AS source, ip AS src_ip, {S.iso("date_trunc('day', ts)")} AS window_start, count(*) AS n404
-FROM b WHERE kind = 'click' AND status = 404 AND user_id % 2 = 1
-GROUP BY ip, date_trunc('day', ts) HAVING count(*) >= 2""")
+SELECT CASE WHEN user_id % 2 = 0 THEN 'apache' ELSE 'nginx' END AS source, ip AS src_ip,
+       {S.iso("date_trunc('day', ts)")} AS window_start, count(*) AS n404
+FROM b WHERE kind = 'click' AND status = 404
+GROUP BY user_id % 2, ip, date_trunc('day', ts) HAVING count(*) >= 2""")
 def stream_web_scan(spark, sf_dir):
-    """Streaming scanner detection: 404s per (server, address, day) >= 2 from access-log files."""
-    lines = RD.web_lines(spark, sf_dir).filter(F.col("file_path") == "nginx_access.log")
+    """Streaming scanner detection: 404s per (server, address, day) >= 2 from the access-log
+    files of both servers."""
+    lines = RD.web_lines(spark, sf_dir)
 
     def build(stream):
-        return SR.web_scan_windows(stream, "nginx", 2, 86400, watermark="1 day", opts=OPTS)
-    work = RN.run_chunks(spark, lines, chunk_of(F.col("ts")), N_CHUNKS, build, RN.batch_sink(_keep_batches),
+        # one folder holds both servers' lines; the rendered path says whose a line is
+        return SR.web_scan_windows(_by_server(stream), 2, 86400, watermark="1 day", opts=OPTS)
+    work = RN.run_chunks(spark, lines.withColumn("value", _tagged()), chunk_of(F.col("ts")), N_CHUNKS, build, RN.batch_sink(_keep_batches),
                          "stream-webscan")
     out = spark.read.parquet(f"{work}/out")
     g = out.groupBy("source", "src_ip", "window_start").agg(F.max("n404").alias("n404"))
     return g.select("source", "src_ip", iso_text("window_start").alias("window_start"), "n404")
 
 
+def _tagged():
+    """The line behind its server's name (chunk files carry no server)."""
+    return F.concat(F.substring_index("file_path", "_", 1), F.lit("\t"), F.col("value"))
+
+
+def _by_server(stream):
+    server, line = F.substring_index("value", "\t", 1), F.substring_index("value", "\t", -1)
+    return {k: stream.filter(server == k).select(F.concat(F.lit(k), F.lit("_access.log")).alias("file_path"), line.alias("value"))
+            for k in ("apache", "nginx")}
+
+
+SCAN_CAT = Catalogue(rules=[r for r in tb.catalogue().rules if r["name"] == "nginx_web_scanner"] + [
+    dict(next(r for r in tb.catalogue().rules if r["name"] == "nginx_web_scanner"), name="web_scanner",
+         conditions=[{"event_type": "web_scan", "source": "apache", "group_by": "src_ip"}])],
+    chains=[], tags=tb.catalogue().tags)
+
+
+@query("stream_scanner_alerts", _fired_sql(SCAN_CAT))
+def stream_scanner_alerts(spark, sf_dir):
+    """Both scanner rules on streams: a first query relabels scanners' web errors and writes the event
+    table, a second evaluates the rules on that table; equal to the batch replay."""
+    lines = RD.web_lines(spark, sf_dir)
+
+    def events(stream):
+        w = SR.stream_events(spark, _by_server(stream), OPTS, relabel=True, hold_secs=366 * 86400)
+        return w.select("event_id", "ts", "source", "event_type", "src_ip")
+    work = RN.run_chunks(spark, lines.withColumn("value", _tagged()), chunk_of(F.col("ts")), N_CHUNKS, events, RN.parquet_sink, "stream-relabel")
+    table = spark.read.parquet(f"{work}/out").filter(F.col("event_type") == "web_scan")
+    again = RN.run_table(spark, table, lambda s: SR.exact_rule_alerts(s, SCAN_CAT, watermark="31 days", order="arrival"), "stream-scan-rules")
+    fires = spark.read.parquet(f"{again}/out").withColumnRenamed("window_count", "event_count")
+    a = C.alert_frame(fires, SCAN_CAT, F.timestamp_seconds("sec"))
+    return a.select("rule_name", "kind", "group_by", "group_value", iso_text("created_at").alias("created_at"),
+                    "event_count")
+
+
+CROSS_CAT = Catalogue(rules=[r for r in tb.catalogue().rules if r["name"] == "unknown_device_then_portscan"], chains=[], tags=tb.catalogue().tags)
+
+
+@query("stream_cross_source", f"WITH {tb.SQL_EVENT_VIEW}" + f""",
+f AS (SELECT ip, kind, CAST(epoch(ts) AS BIGINT) AS s FROM b WHERE kind IN ('signup', 'purchase') AND ip <> ''),
+w AS (SELECT ip, kind, s // 21600 * 21600 - i * 21600 AS ws FROM f, range(0, 4) AS r(i)),
+g AS (SELECT ip, ws, count(*) AS n FROM w GROUP BY ip, ws HAVING count(DISTINCT kind) = 2)
+SELECT 'unknown_device_then_portscan' AS rule_name, ip AS key,
+       {S.iso("TIMESTAMP '1970-01-01 00:00:00' + to_seconds(ws)")} AS window_start, n FROM g""")
+def stream_cross_source(spark, sf_dir):
+    """A cross-source rule in sliding windows: both conditions must be seen in the window."""
+    sources = {"netwatch": RD.netwatch_lines(spark, sf_dir), "homeguard": RD.homeguard_lines(spark, sf_dir)}
+
+    def build(dirs):
+        return SR.sliding_counts(SR.stream_events(spark, dirs, OPTS), CROSS_CAT, 86400, 21600, watermark="1 day")
+    work = RN.run_chunks_multi(spark, sources, lambda df: chunk_of(F.col("ts")), N_CHUNKS, build, RN.batch_sink(_keep_batches), "stream-cross")
+    g = spark.read.parquet(f"{work}/out").groupBy("rule_name", "key", "window_start").agg(F.max("n").alias("n"))
+    return g.select("rule_name", "key", iso_text("window_start").alias("window_start"), "n")
+
+
 def _alert_tables(spark, sf_dir):
     lines = RD.auth_lines(spark, sf_dir)
     handle = {}

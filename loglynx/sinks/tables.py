@@ -19,10 +19,14 @@ from pyspark.sql import types as T
 from ..operators import reputation as R
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    """K1: events appended under ``event_date=YYYY-MM-DD`` partitions."""
-    (events.withColumn("event_date", F.to_date("ts"))
-     .write.mode("append").partitionBy("event_date").parquet(path))
+def append_events(events: DataFrame, path: str, batch: int | str = 0, files_per_date: int = 1) -> None:
+    """K1: events under ``event_date=YYYY-MM-DD/batch=<id>``.  A date's rows of a batch go to
+    ``files_per_date`` tasks (raise it for days that are too large for one), so a batch writes that many
+    files for a date however many tasks made it; writing a batch again replaces its files."""
+    dated = events.withColumn("event_date", F.to_date("ts")).withColumn("batch", F.lit(str(batch)))
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(files_per_date))
+    (dated.repartition("event_date", salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date", "batch").parquet(path))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -30,11 +34,10 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_batch(df: DataFrame, path: str, batch: int | str) -> None:
-    """Idempotent append: the rows of one batch live in ``batch=<id>``; writing the
-    same batch again replaces exactly that partition."""
-    out = df.withColumn("batch", F.lit(str(batch)))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch").parquet(path))
+    """Idempotent append: the rows of one batch are the folder ``batch=<id>``; writing the
+    same batch again replaces exactly that folder, also when it now has no rows (a file
+    without rows keeps the table's schema readable)."""
+    df.drop("batch").write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def append_alerts(alerts: DataFrame, path: str, batch: int | str) -> None:
@@ -43,10 +46,13 @@ def append_alerts(alerts: DataFrame, path: str, batch: int | str) -> None:
 
 
 def append_acks(spark: SparkSession, alert_ids: list[int], acked_at, path: str, batch: int | str) -> None:
-    """K5: acknowledge alerts (unknown ids are harmless; repeats are idempotent on read)."""
-    df = spark.createDataFrame([(int(i),) for i in alert_ids], "alert_id bigint").withColumn(
-        "acked_at", F.lit(acked_at).cast("timestamp"))
-    write_batch(df, path, batch)
+    """K5: acknowledge a few alerts by id."""
+    append_ack_table(spark.createDataFrame([(int(i),) for i in alert_ids], "alert_id bigint"), acked_at, path, batch)
+
+
+def append_ack_table(ids: DataFrame, acked_at, path: str, batch: int | str) -> None:
+    """K5: acknowledge the alerts of ``ids`` (alert_id; unknown ids are harmless; repeats are idempotent on read)."""
+    write_batch(ids.select("alert_id", F.lit(acked_at).cast("timestamp").alias("acked_at")), path, batch)
 
 
 def append_geo(lookups: DataFrame, path: str, batch: int | str) -> None:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,6 @@ from ..functions.normalize import (
     strip,
     web_severity,
 )
-from ..schema import EVENT_COLUMNS
 
 # ---------------------------------------------------------------------------
 # Line patterns and message texts.  These must stay as
@@ -528,10 +527,10 @@ def _typed_records(recs: DataFrame, source: str, opts: ParseOptions | None) -> D
 
 
 def json_alert_texts(spark: SparkSession, paths) -> DataFrame:
-    """(file_path, rec): the text of every record of JSON alert files."""
+    """(file_path, rec): the text of every record of JSON alert files (all its fields, spacing not kept)."""
     if isinstance(paths, str):
         paths = [paths]
-    df = _lines_of(spark.read.option("wholetext", True).text(list(paths)))
+    df = _lines_of(spark.read.text(list(paths), wholetext=True))
     v = strip(F.col("value"))
     listed = F.from_json(v, "array<string>")
     wrapped = F.from_json(v, "alerts array<string>")["alerts"]
@@ -632,3 +631,16 @@ def ingest_counts(events: DataFrame) -> DataFrame:
         F.lit(0).cast("long").alias("n_events"))
     out = both.unionByName(none).groupBy("total", "source", "file_path").agg(F.sum("n_events").alias("n_events"))
     return out.select("source", "file_path", "n_events")
+
+
+def number_occurrences(events: DataFrame) -> DataFrame:
+    """``event_id`` made unique for equal lines of one file: the second and later occurrences get an id of
+    their own (file, line, number).  Only lines that do repeat are numbered, so the table itself is not dealt
+    anew unless the repeated ids are too many to broadcast by their measured size."""
+    again = events.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).select("event_id", F.lit(True).alias("_again"))
+    j = events.join(again, "event_id", "left")
+    single = j.filter(F.col("_again").isNull()).select(*events.columns)
+    w = Window.partitionBy("event_id", "file_path", "raw").orderBy("ts")
+    rest = j.filter(F.col("_again")).withColumn("_nth", F.row_number().over(w))
+    own = F.when(F.col("_nth") == 1, F.col("event_id")).otherwise(F.xxhash64("file_path", "raw", "_nth"))
+    return single.unionByName(rest.withColumn("event_id", own).select(*events.columns))

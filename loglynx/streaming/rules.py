@@ -20,6 +20,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 import numpy as np
@@ -33,20 +34,32 @@ from ..sources import logs as L
 from ..sources.catalogue import Catalogue
 
 
+def use_state_store(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, spills to disk) unless the session names another store."""
+    if "HDFSBackedStateStoreProvider" in spark.conf.get(STATE_STORE, "HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def stream_lines(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None,
-                 latest_first: bool = False) -> DataFrame:
-    """ST1: lines of files appearing in ``directory`` (each file read once)."""
+                 latest_first: bool = False, modified_after: str | None = None) -> DataFrame:
+    """ST1: lines of files appearing in ``directory`` (each file read once).
+    ``modified_after`` (a timestamp): skip files that are older, i.e. start at the end of the existing data."""
     r = spark.readStream.option("latestFirst", str(latest_first).lower())
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if modified_after:
+        r = r.option("modifiedAfter", modified_after)
     return r.text(directory).select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
 
 
 def kafka_lines(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "latest",
                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """ST1 over a message bus: one log line per Kafka record value, ``file_path``
-    = ``kafka:<topic>/<partition>``.  Needs the spark-sql-kafka package on the
-    classpath (not part of this image, so untested here)."""
+    = ``kafka:<topic>/<partition>``; give it to ``stream_events`` as a source.  Needs the
+    spark-sql-kafka package on the classpath (not part of this image, so untested here)."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", topic).option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
@@ -56,19 +69,86 @@ def kafka_lines(spark: SparkSession, bootstrap: str, topic: str, starting_offset
         F.col("value").cast("string").alias("value"))
 
 
-def stream_events(spark: SparkSession, dirs: dict, opts: L.ParseOptions | None = None, **kw) -> DataFrame:
-    """ST2: one stream per source kind -> parser -> union.  Web sources skip the
-    per-file relabel (a join with an aggregate); use ``web_scan_windows``."""
+def _web(sources: dict, opts: L.ParseOptions | None) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), [L.parse_web_lines(lines, kind, opts) for kind, lines in sources.items()])
+
+
+def stream_events(spark: SparkSession, dirs: dict, opts: L.ParseOptions | None = None, relabel: bool = False,
+                  watermark: str = "1 day", hold_secs: int = 7 * 86400, **kw) -> DataFrame:
+    """ST2: one stream per source kind -> parser -> union.  A source is a folder or a streaming
+    DataFrame of lines (file_path, value), such as ``kafka_lines``.
+
+    ``relabel``: web errors of scanning addresses become web_scan events, as in the
+    batch (``scanner_relabel``).  That keeps state, so rules are evaluated by a second
+    query on the event table that this stream writes."""
     parts = []
+    web = {}
     for kind, d in dirs.items():
-        lines = stream_lines(spark, d, **kw)
+        lines = stream_lines(spark, d, **kw) if isinstance(d, str) else d
         if kind in ("apache", "nginx"):
-            parts.append(L.finish_events(L.parse_web_lines(lines, kind, opts).drop("status"), opts))
+            web[kind] = lines
         else:
             parts.append(L.parse_kind(kind, lines, opts))
+    if web:
+        w = _web(web, opts)
+        if relabel:
+            w = scanner_relabel(w, (opts or L.ParseOptions()).web_scan_threshold, watermark, hold_secs)
+        parts.append(L.finish_events(w.drop("status"), opts))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _scan_step(threshold: int, columns: list[str], hold_ms: int):
+    """Per (file, address): web errors are held back until the address has ``threshold`` 404s, and then
+    leave, with all later ones, as web_scan; rows of an address that stays below leave unchanged once
+    the watermark is ``hold_ms`` past them.  State: the errors among fewer than ``threshold`` 404s."""
+    def step(key, pdfs, state):
+        n, held = state.get if state.exists else (0, [])
+        rows = [tuple(json.loads(x)) for x in held]
+        out = []
+        for p in pdfs:
+            n += int((p["status"] == 404).sum())
+            rows += list(p[columns].itertuples(index=False, name=None))
+            if n >= threshold:
+                out, rows = out + rows, []
+        scan = n >= threshold
+        if state.hasTimedOut and not scan:
+            out, rows = rows, []
+        if state.hasTimedOut:
+            state.remove()
+        else:
+            state.update((n, [json.dumps([None if x is None else int(x) if isinstance(x, np.integer) else x for x in r]) for r in rows]))
+            ms = max([r[columns.index("at_ms")] for r in rows + out], default=0)
+            state.setTimeoutTimestamp(max(int(ms), state.getCurrentWatermarkMs()) + hold_ms)
+        if out:
+            frame = pd.DataFrame(out, columns=columns)
+            frame["is_scan"] = scan
+            yield frame
+    return step
+
+
+def scanner_relabel(web: DataFrame, threshold: int, watermark: str = "1 day", hold_secs: int = 7 * 86400) -> DataFrame:
+    """ST6: the batch's scanner relabel on a stream of ``parse_web_lines`` rows: rows of addresses with
+    ``threshold`` 404s in a file become web_scan / HIGH.  A 404 counts towards those that follow within
+    ``hold_secs`` (the life of a log file); other errors of the address wait as long for the verdict."""
+    use_state_store(web.sparkSession)
+    plain = web.columns
+    errors = web.filter((F.col("event_type") == "web_error") & F.col("ts").isNotNull()).withWatermark("ts", watermark)
+    errors = errors.withColumn("at_ms", F.unix_millis("ts"))
+    own = [c for c in plain if c != "ts"] + ["at_ms"]
+    typed = errors.select(*own)
+    schema = T.StructType([typed.schema[c] for c in own] + [T.StructField("is_scan", T.BooleanType())])
+    state = T.StructType([T.StructField("n", T.LongType()), T.StructField("held", T.ArrayType(T.StringType()))])
+    done = errors.select("ts", *own).groupBy("file_path", "src_ip").applyInPandasWithState(
+        _scan_step(threshold, own, hold_secs * 1000), schema, state, "append", "EventTimeTimeout")
+    scan = F.col("is_scan")
+    done = done.withColumn("ts", F.timestamp_millis("at_ms")).withColumns({
+        "event_type": F.when(scan, "web_scan").otherwise(F.col("event_type")),
+        "severity": F.when(scan, "HIGH").otherwise(F.col("severity")),
+        "message": F.when(scan, F.concat(F.lit(L.WEB_SCAN_PREFIX), F.col("message"))).otherwise(F.col("message"))})
+    rest = web.filter((F.col("event_type") != "web_error") | F.col("ts").isNull())
+    return rest.unionByName(done.select(*plain))
+
+
 FIRE_SCHEMA = T.StructType([
     T.StructField("rule_idx", T.IntegerType()),
     T.StructField("key", T.StringType()),
@@ -98,7 +178,11 @@ def _processor(rules: dict, k: int, order: str = "arrival"):
     def step(key, pdfs, state):
         rule_idx, gkey = int(key[0]), key[1]
         w, thr, ncond = rules[rule_idx]
-        frames = [p for p in pdfs]
+        # frame by frame, down to counts per (second, condition): a hot key's rows are never held together
+        counts = []
+        for p in pdfs:
+            both, n = np.unique(p["sec"].to_numpy(dtype=np.int64) * k + p["cond_idx"].to_numpy(dtype=np.int64), return_counts=True)
+            counts.append((both, n))
         if state.exists:
             st = state.get
             old_s = np.asarray(st[0], dtype=np.int64)
@@ -106,18 +190,17 @@ def _processor(rules: dict, k: int, order: str = "arrival"):
             last, done = st[1 + k], st[2 + k]
         else:
             old_s, old_c, last, done = np.zeros(0, np.int64), np.zeros((0, k), np.int64), None, None
-        if state.hasTimedOut and not frames and order == "arrival":
+        if state.hasTimedOut and not counts and order == "arrival":
             state.remove()
             return
-        if frames:
-            pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-            sec = pdf["sec"].to_numpy(dtype=np.int64)
-            cond = pdf["cond_idx"].to_numpy(dtype=np.int64)
+        if counts:
+            both, n = np.concatenate([c for c, _ in counts]), np.concatenate([x for _, x in counts])
+            sec, cond = both // k, both % k
             s_arr = np.union1d(old_s, np.unique(sec))
             mat = np.zeros((len(s_arr), k), dtype=np.int64)
             if len(old_s):
                 mat[np.searchsorted(s_arr, old_s)] += old_c
-            np.add.at(mat, (np.searchsorted(s_arr, sec), cond), 1)
+            np.add.at(mat, (np.searchsorted(s_arr, sec), cond), n)
         else:
             sec, s_arr, mat = np.zeros(0, np.int64), old_s, old_c
         wm_ms = state.getCurrentWatermarkMs()
@@ -175,6 +258,7 @@ def exact_rule_alerts(events: DataFrame, cat: Catalogue, watermark: str = "1 day
     -> rule_idx, key, sec, window_count (one row per fire)."""
     if order not in ("arrival", "event_time"):
         raise ValueError(f"order must be 'arrival' or 'event_time', not {order!r}")
+    use_state_store(events.sparkSession)
     k = cat.max_conditions()
     rules = {r[0]: (int(r[4]), int(r[5]), int(r[6])) for r in cat.condition_rows()}
     m = C.match_events(events.withWatermark("ts", watermark), cat)
@@ -186,21 +270,33 @@ def exact_rule_alerts(events: DataFrame, cat: Catalogue, watermark: str = "1 day
 def sliding_counts(events: DataFrame, cat: Catalogue, window_secs: int, slide_secs: int,
                    watermark: str = "1 day") -> DataFrame:
     """ST3: per (rule, key, sliding window) counts >= threshold for the rules whose
-    look-back equals ``window_secs`` (window length must be a literal)."""
+    look-back equals ``window_secs`` (window length must be a literal).  Rules with several
+    conditions need one event of each (the threshold does not apply); n is the sum."""
     m = C.match_events(events.withWatermark("ts", watermark), cat).filter(F.col("window_secs") == window_secs)
     win = F.window("ts", f"{window_secs} seconds", f"{slide_secs} seconds")
-    g = m.groupBy(win.alias("w"), "rule_idx", "rule_name", "threshold", "key").agg(
-        F.count(F.lit(1)).alias("n"))
-    return g.filter(F.col("n") >= F.col("threshold")).select(
+    conds = [f"c{i}" for i in range(cat.max_conditions())]
+    g = m.groupBy(win.alias("w"), "rule_idx", "rule_name", "threshold", "n_conds", "key").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("cond_idx") == i).alias(c) for i, c in enumerate(conds)])
+    every = reduce(lambda a, b: a & b, [(F.col("n_conds") <= i) | (F.col(c) >= 1) for i, c in enumerate(conds)])
+    fire = F.when(F.col("n_conds") == 1, F.col("n") >= F.col("threshold")).otherwise(every)
+    return g.filter(fire).select(
         "rule_name", "key", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n")
 
 
-def web_scan_windows(web_lines: DataFrame, source: str, threshold: int, window_secs: int,
-                     watermark: str = "1 day", opts: L.ParseOptions | None = None) -> DataFrame:
-    """ST6: 404s per (server, address, tumbling window) >= threshold."""
-    w = L.parse_web_lines(web_lines, source, opts).withWatermark("ts", watermark)
+def web_scan_windows(web_lines: dict, threshold: int, window_secs: int, watermark: str = "1 day",
+                     opts: L.ParseOptions | None = None) -> DataFrame:
+    """ST6: 404s per (server, address, tumbling window) >= threshold, of all web sources
+    (``web_lines``: source kind -> streaming lines)."""
+    w = _web(web_lines, opts).withWatermark("ts", watermark)
     g = w.filter(F.col("status") == 404).groupBy(
         F.window("ts", f"{window_secs} seconds").alias("w"), "source", "src_ip").agg(
         F.count(F.lit(1)).alias("n404"))
     return g.filter(F.col("n404") >= threshold).select(
         "source", "src_ip", F.col("w.start").alias("window_start"), "n404")
+
+
+def run_continuous(df: DataFrame, handle, checkpoint: str, trigger_secs: int = 30):
+    """ST2: a running query with a processing-time trigger (the periodic evaluation loop): ``handle`` gets
+    every micro-batch and its id.  Returns the StreamingQuery."""
+    return (df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=f"{trigger_secs} seconds").start())

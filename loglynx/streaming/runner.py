@@ -70,3 +70,14 @@ def run_chunks_multi(spark: SparkSession, sources: dict, chunk: Callable[[DataFr
         if q.exception() is not None:
             raise q.exception()
     return work
+
+
+def run_table(spark: SparkSession, table: DataFrame, build: Callable[[DataFrame], DataFrame], name: str) -> str:
+    """Stream a table's rows (written as files first, as another query's sink leaves them) through ``build``."""
+    work = work_dir(spark, name)
+    table.write.parquet(f"{work}/input")
+    q = parquet_sink(build(spark.readStream.schema(table.schema).parquet(f"{work}/input")), work)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return work

@@ -43,6 +43,16 @@ def _latest_snapshot(spark, root: str, before: int):
     return snaps.filter(F.col("v") == v).drop("v")
 
 
+def _drop_versions(spark, root: str, before: int) -> None:
+    """Remove snapshot versions older than ``before``: a batch that is run again needs the one before it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) < before:
+            fs.delete(status.getPath(), True)
+
+
 def alert_sink(cat: Catalogue, table_dir: str, min_severity: str = "HIGH", app_name: str = "loglynx"):
     """Build the foreachBatch function for a stream of fires (rule_idx, key, sec, window_count).
 
@@ -93,6 +103,7 @@ def alert_sink(cat: Catalogue, table_dir: str, min_severity: str = "HIGH", app_n
         prev_snap = _latest_snapshot(spark, rep_root, batch_id)
         snap = TB.merge_reputation(prev_snap, TB.reputation_delta(mine, cat.tags))
         snap.write.mode("overwrite").parquet(f"{rep_root}/v={batch_id}")
+        _drop_versions(spark, rep_root, batch_id - 1)
 
     return handle
 
