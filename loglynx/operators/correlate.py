@@ -114,14 +114,15 @@ def point_candidates(events: DataFrame, cat: Catalogue, as_of, open_ended: bool
     n_conds, window_secs, group_by (of the first condition).
     """
     m = in_window(match_events(prefilter_events(events, cat, as_of, open_ended), cat), as_of, open_ended)
+    conds = range(cat.max_conditions())
     g = m.groupBy("rule_idx", "rule_name", "n_conds", "window_secs", "threshold", "key").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.size(F.collect_set("cond_idx")).alias("conds_seen"),  # at most the rule's conditions
+        *[F.max(F.col("cond_idx") == i).alias(f"seen{i}") for i in conds],
         F.min(F.when(F.col("cond_idx") == 0, F.col("group_by"))).alias("group_by"),
     )
     fire = F.when(F.col("n_conds") == 1, F.col("event_count") >= F.col("threshold")).otherwise(
-        F.col("conds_seen") == F.col("n_conds"))
-    return g.filter(fire).drop("conds_seen", "threshold")
+        reduce(lambda a, b: a & b, [(F.col("n_conds") <= i) | F.col(f"seen{i}") for i in conds]))
+    return g.filter(fire).drop(*[f"seen{i}" for i in conds], "threshold")
 
 
 def top_event_ids(matched: DataFrame, k: int = 50) -> DataFrame:

@@ -227,6 +227,13 @@ def _groups(line: Column, pattern: str, n: int) -> Column:
     return F.when(odd, F.transform(cut(escaped), restore)).otherwise(cut(line))
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` plus columns that are computed once per row.  Later filters on what is made of them
+    (a rule's type or key, say) would otherwise be pushed below and repeat the whole extraction in
+    every predicate; a generator of one row keeps them above."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def _field(g: Column, i: int) -> Column:
     """Group i + 1 of ``_groups``; null if there is none."""
     return F.try_element_at(g, F.lit(i + 1))
@@ -246,7 +253,7 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     opts.need_year("auth")
     P = AUTH_PATTERNS
     df = lines.select("file_path", strip(F.col("value")).alias("line"))
-    df = df.withColumn("kind", _kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
+    df = _once(df, kind=_kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
     line, kind = F.col("line"), F.col("kind")
     # one regex pass per line: the detected kind's pattern rewrites the line to
     # its groups (ts, user[, ip | command])
@@ -255,7 +262,7 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
         n = 3 if name in ("auth_failure", "auth_success", "sudo_command") else 2
         g = _groups(line, pat, n)
         groups = F.when(kind == name, g) if groups is None else groups.when(kind == name, g)
-    df = df.withColumn("g", groups)
+    df = _once(df, g=groups)
     g = F.col("g")
     user = F.when(kind == "user_created", F.regexp_replace(_field(g, 1), ",$", "")).otherwise(_field(g, 1))  # "name=x," -> x
     ip = F.when(kind.isin("auth_failure", "auth_success"), _field(g, 2))
@@ -297,7 +304,7 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
     opts.need_year("syslog")
     P = SYSLOG_PATTERNS
     df = lines.select("file_path", strip(F.col("value")).alias("line"))
-    df = df.withColumn("kind", _kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
+    df = _once(df, kind=_kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
     line, kind = F.col("line"), F.col("kind")
     # one regex pass per line for the kind's groups (ts first)
     n_groups = {"service_start": 2, "service_stop": 3, "oom": 2, "segfault": 1, "disk_error": 1, "pam_failure": 2}
@@ -305,7 +312,7 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
     for name, pat in P.items():
         g = _groups(line, pat, n_groups[name])
         groups = F.when(kind == name, g) if groups is None else groups.when(kind == name, g)
-    df = df.withColumn("g", groups)
+    df = _once(df, g=groups)
     g = F.col("g")
     service = F.when(kind == "service_start", _field(g, 1)).when(kind == "service_stop", _field(g, 2))
     action = F.when(kind == "service_stop", _field(g, 1))
@@ -371,7 +378,7 @@ def parse_web_lines(lines: DataFrame, source: str = "nginx", opts: ParseOptions
     df = lines.select("file_path", strip(F.col("value")).alias("line")).filter(_matches(line, WEB_PATTERN))
     # one regex pass for all six fields (instead of one regexp_extract per field)
     g = _groups(line, WEB_PATTERN, 6)
-    df = df.select("file_path", "line", g.alias("g")).select(
+    df = _once(df, g=g).select(
         "file_path", "line",
         _field(F.col("g"), 0).alias("src_ip"),
         F.when(_field(F.col("g"), 1) != "-", _field(F.col("g"), 1)).alias("user"),
@@ -441,7 +448,7 @@ def parse_ids(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     """IDS EVE NDJSON lines -> events; only ``event_type == 'alert'`` records."""
     opts = opts or ParseOptions()
     df = lines.select("file_path", strip(F.col("value")).alias("line"))
-    df = df.withColumn("o", F.from_json(F.col("line"), IDS_SCHEMA))
+    df = _once(df, o=F.from_json(F.col("line"), IDS_SCHEMA))
     df = df.filter(F.col("o.event_type") == "alert")
     o = F.col("o")
     sig = F.coalesce(o["alert"]["signature"], F.lit(IDS_DEFAULT_SIGNATURE))
@@ -523,7 +530,7 @@ def _is_record(text: Column) -> Column:
 def _typed_records(recs: DataFrame, source: str, opts: ParseOptions | None) -> DataFrame:
     """``recs`` (file_path, rec: a record's text) -> events of the records that are JSON objects."""
     good = recs.filter(_is_record(F.col("rec")))
-    return JSON_RECORD_MAPPERS[source](good.withColumn("r", F.from_json("rec", JSON_RECORD_SCHEMAS[source])), opts)
+    return JSON_RECORD_MAPPERS[source](_once(good, r=F.from_json("rec", JSON_RECORD_SCHEMAS[source])), opts)
 
 
 def json_alert_texts(spark: SparkSession, paths) -> DataFrame:
