@@ -96,20 +96,20 @@ def held_out(ids: pa.Array, modulus: int, rest: int) -> np.ndarray:
 
 
 def tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(words, contexts, row) of a chunk (id, text): each row's words and one end."""
+    """(words, row, place of each row's first) of a chunk (id, text): each row's words and one end."""
     raw, offs = T.flat(part.column(1), lower=True)
     starts, ends, bounds = T.words(raw, offs)
-    h = T.hashes(raw, starts, ends)
-    return np.insert(h, bounds[1:], END), np.insert(h, bounds[:-1], START), np.repeat(np.arange(part.num_rows), np.diff(bounds) + 1)
+    n = part.num_rows
+    w = np.insert(T.hashes(raw, starts, ends), bounds[1:], END)
+    return w, np.repeat(np.arange(n), np.diff(bounds) + 1), bounds[:-1] + np.arange(n)
 
 
-def counted(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct key tuples and their counts."""
-    order = np.lexsort(keys[::-1])
-    keys = [k[order] for k in keys]
-    new = np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])]) if len(order) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    return [k[first] for k in keys], np.diff(np.concatenate([first, [len(order)]]))
+def before(values: np.ndarray, first: np.ndarray, start) -> np.ndarray:
+    """The value of the token before each; ``start`` for the first of a row."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[first] = start
+    return out
 
 
 # ---- level one ----
@@ -132,23 +132,23 @@ class Level1:
         return float(self.n + self.v + 1)
 
     def counts(self, words: np.ndarray) -> np.ndarray:
-        """Training counts of (any) words."""
-        u, inverse = np.unique(words, return_inverse=True)
-        out = np.zeros(len(u), np.int64)
-        part = (u >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(u), np.int64)
+        """Training counts of distinct words in ascending order."""
+        out = np.zeros(len(words), np.int64)
+        part = (words >> U64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(words), np.int64)
         edges = np.searchsorted(part, np.arange((1 << self.bits) + 1))
         for k in np.flatnonzero(np.diff(edges)).tolist():
             words_of, sums = _level1_file(f"{self.folder}/{k}")
-            own = u[edges[k]:edges[k + 1]]
+            own = words[edges[k]:edges[k + 1]]
             at = words_of.find(own & U64((1 << (64 - self.bits)) - 1) if self.bits else own)
             got = np.flatnonzero(at >= 0)
             out[edges[k] + got] = (sums.get(at[got] + 1) - sums.get(at[got])).astype(np.int64)
-        out[u == START] = self.starts
-        return out[inverse]
+        out[words == START] = self.starts
+        return out
 
-    def is_hot(self, words: np.ndarray) -> np.ndarray:
+    def hot_places(self, words: np.ndarray) -> np.ndarray:
+        """Place among the hot words, -1 for others."""
         at = np.minimum(np.searchsorted(self.hot, words), max(len(self.hot) - 1, 0))
-        return self.hot[at] == words if len(self.hot) else np.zeros(len(words), bool)
+        return np.where(self.hot[at] == words, at, -1) if len(self.hot) else np.full(len(words), -1)
 
 
 @functools.lru_cache(maxsize=4096)
@@ -164,9 +164,9 @@ def level1(rows: DataFrame, folder: str, modulus: int, rest: int, hot_words: int
     def count(batches):
         for batch in batches:
             for part in T.chunks(batch, "text"):
-                w, v, row = tokens(part)
-                train = ~held_out(part.column(0), modulus, rest)[row]
-                (u,), c = counted(np.concatenate([w[train], v[train & (v == START)]]))
+                w, row, first = tokens(part)
+                train = ~held_out(part.column(0), modulus, rest)
+                u, c = np.unique(np.concatenate([w[train[row]], np.full(int(train.sum()), START)]), return_counts=True)
                 if len(u):
                     yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c)], names=["w", "c"])
 
@@ -227,8 +227,8 @@ class Trie:
               discount: float, mixed: float) -> dict[str, np.ndarray]:
         """From distinct (context, word), sorted, with count, the context's total, the word's p1 and the p1 mass of the
         context's bucket."""
-        new = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, np.int64)
-        of = np.cumsum(np.isin(np.arange(len(context)), new)) - 1 if len(context) else np.zeros(0, np.int64)
+        starts = np.concatenate([[True], context[1:] != context[:-1]]) if len(context) else np.zeros(0, bool)
+        new, of = np.flatnonzero(starts), np.cumsum(starts) - 1
         kinds = np.diff(np.concatenate([new, [len(context)]]))
         # the weight of p1: the discounted share goes to the bucket's words by p1
         weight = (1 - mixed) * discount * kinds / (total[new] * mass[new]) + mixed
@@ -238,17 +238,21 @@ class Trie:
                 | Sequence.build(vocabulary).parts("words") | Sequence.build(of.astype(U64) * U64(max(1, len(vocabulary))) + number.astype(U64)).parts("successors")
                 | {"prob": quantised(np.log10(np.minimum(prob, 1.0))), "weight": quantised(np.log10(np.minimum(weight, 1.0)))})
 
-    def logs(self, context: np.ndarray, word: np.ndarray, p1: np.ndarray, absent: np.ndarray) -> np.ndarray:
-        """log10 p(word | context); ``absent``: the weight's logarithm where the context is not in the trie."""
-        c, w = self.contexts.find(context), self.words.find(word)
-        out = np.log10(p1) + absent
-        there = np.flatnonzero(c >= 0)
-        out[there] = np.log10(p1[there]) - self.weight[c[there]] * STEP
-        seen = np.flatnonzero((c >= 0) & (w >= 0))
-        lo, hi = self.pointers.get(c[seen]).astype(np.int64), self.pointers.get(c[seen] + 1).astype(np.int64)
-        at = self.successors.find(c[seen].astype(U64) * U64(max(1, self.words.n)) + w[seen].astype(U64), lo, hi)
+    def logs(self, contexts: np.ndarray, words: np.ndarray, p1: np.ndarray, absent: np.ndarray, ci: np.ndarray, wi: np.ndarray) -> np.ndarray:
+        """log10 p(words[wi] | contexts[ci]) of pairs of given distinct contexts and words; ``absent``: a
+        context's weight (its logarithm) if it is not in the trie; ``p1`` by word."""
+        c, w, base = self.contexts.find(contexts), self.words.find(words), np.log10(p1)
+        there = c >= 0
+        weight = absent.copy()
+        weight[there] = self.weight[c[there]] * -STEP
+        lo, hi = np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)
+        lo[there], hi[there] = self.pointers.get(c[there]), self.pointers.get(c[there] + 1)
+        out = base[wi] + weight[ci]
+        some = np.flatnonzero(there[ci] & (w[wi] >= 0))
+        cs = ci[some]
+        at = self.successors.find(c[cs].astype(U64) * U64(max(1, self.words.n)) + w[wi[some]].astype(U64), lo[cs], hi[cs])
         hit = at >= 0
-        out[seen[hit]] = self.prob[at[hit]] * -STEP
+        out[some[hit]] = self.prob[at[hit]] * -STEP
         return out
 
 
@@ -290,15 +294,18 @@ def _hot_trie(path: str) -> Trie:
 
 def hot_level(rows: DataFrame, one: Level1, folder: str, files: int, modulus: int, rest: int, discount: float, mixed: float) -> None:
     """Count the pairs of hot words and write their part of level two, cut by context."""
+    size, start = len(one.hot), int(one.hot_places(np.array([START]))[0])
 
     def count(batches):
         for batch in batches:
             for part in T.chunks(batch, "text"):
-                w, v, row = tokens(part)
-                both = np.flatnonzero(one.is_hot(w) & one.is_hot(v))
-                both = both[~held_out(part.column(0), modulus, rest)[row[both]]]
-                (a, b), c = counted(v[both], w[both])
-                if len(a):
+                w, row, first = tokens(part)
+                place = one.hot_places(w)
+                key = np.where(place >= 0, before(place, first, start) * size + place, -1)
+                train = ~held_out(part.column(0), modulus, rest)
+                u, c = np.unique(key[(key >= 0) & train[row]], return_counts=True)  # a context that is not hot: below 0
+                if len(u):
+                    a, b = one.hot[u // size], one.hot[u % size]
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), pa.array(c)], names=["v", "w", "c"])
 
     def save(batches):
@@ -328,12 +335,16 @@ def hot_parts(one: Level1, v: np.ndarray, w: np.ndarray, c: np.ndarray, discount
     return Trie.build(v, w, c, count(v), (count(w) + 1) / one.whole, np.full(len(v), mass), discount, mixed)
 
 
-def hot_logs(model: Model, v: np.ndarray, w: np.ndarray, p1: np.ndarray) -> np.ndarray:
+def hot_logs(model: Model, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Logarithms for distinct pairs of hot words, given by their places."""
+    one = model.level1
     out = np.zeros(len(v))
-    part = (v & U64(model.hot_files - 1)).astype(np.int64)
+    part = (one.hot[v] & U64(model.hot_files - 1)).astype(np.int64)
     for k in np.unique(part).tolist():
         pick = part == k
-        out[pick] = _hot_trie(f"{model.hot_folder}/{k}").logs(v[pick], w[pick], p1[pick], np.full(int(pick.sum()), np.log10(model.mixed)))
+        (uv, ci), (uw, wi) = np.unique(v[pick], return_inverse=True), np.unique(w[pick], return_inverse=True)
+        p1 = (one.hot_counts[uw] + 1) / one.whole
+        out[pick] = _hot_trie(f"{model.hot_folder}/{k}").logs(one.hot[uv], one.hot[uw], p1, np.full(len(uv), np.log10(model.mixed)), ci, wi)
     return out
 
 
@@ -360,8 +371,8 @@ def _small(values: np.ndarray) -> np.ndarray:
 def packed(model: Model, train: np.ndarray, v: np.ndarray, w: np.ndarray, b: np.ndarray, many: np.ndarray, row: np.ndarray, pid: int):
     """The tokens of a chunk that need a shard, one packet for each shard: tables of contexts and words, and numbers into them."""
     cell = cells(v, b, many)
-    shard = (cell % U64(model.shards)).astype(np.int64)
-    order = np.lexsort((row, cell, shard))
+    order = np.argsort(cell, kind="stable")  # by shard, and rows ascending within a cell
+    shard = (((cell >> U64(32)) * U64(model.shards)) >> U64(32)).astype(np.int64)
     edges = np.searchsorted(shard[order], np.arange(model.shards + 1))
     for k in np.flatnonzero(np.diff(edges)).tolist():
         own = order[edges[k]:edges[k + 1]]
@@ -381,21 +392,24 @@ def shard_scores(model: Model, packets: list[tuple[int, bytes]], shard: int) ->
     v, b, many = (np.concatenate([np.repeat(x[c], x["runs"]) for x in loaded]) for c in ("v", "b", "many"))
     w = np.concatenate([x["words"][x["w"]] for x in loaded])
     train = np.concatenate([np.unpackbits(x["train"], count=len(x["w"])).astype(bool) for x in loaded])
-    cell = cells(v, b.astype(np.int64), many.astype(np.int64))
-    p1 = (one.counts(w) + 1) / one.whole
-
-    t = np.flatnonzero(train)
-    t = t[np.lexsort((w[t], cell[t]))]
-    first = np.flatnonzero(np.concatenate([[True], (cell[t][1:] != cell[t][:-1]) | (w[t][1:] != w[t][:-1])])) if len(t) else t
-    at = t[first]
-    count = np.diff(np.concatenate([first, [len(t)]]))
-    mass = np.ones(len(at))
-    split = np.flatnonzero(many[at] > 0)  # many: 0 for a context that is not hot
-    mass[split] = model.cold_mass(b[at][split].astype(np.int64), many[at][split].astype(np.int64))
+    uc, at, ci = np.unique(cells(v, b.astype(np.int64), many.astype(np.int64)), return_index=True, return_inverse=True)
+    v, b, many = v[at], b[at].astype(np.int64), many[at].astype(np.int64)
+    uw, wi = np.unique(w, return_inverse=True)
+    del w
+    p1 = (one.counts(uw) + 1) / one.whole
+    pair, which = np.unique(ci * len(uw) + wi, return_inverse=True)
+    del ci, wi
+    ci, wi = pair // max(1, len(uw)), pair % max(1, len(uw))
+    count = np.bincount(which, weights=train, minlength=len(pair)).astype(np.int64)
+    sv, inverse = np.unique(v, return_inverse=True)
+    total = one.counts(sv)[inverse]
+    mass, split = np.ones(len(uc)), np.flatnonzero(many > 0)  # many: 0 for a context that is not hot
+    mass[split] = model.cold_mass(b[split], many[split])
+    t = np.flatnonzero(count > 0)
     path = f"{model.cold_folder}/{shard}"
-    put(path, Trie.build(cell[at], w[at], count, one.counts(v[at]), p1[at], mass, model.discount, model.mixed))
+    put(path, Trie.build(uc[ci[t]], uw[wi[t]], count[t], total[ci[t]], p1[wi[t]], mass[ci[t]], model.discount, model.mixed))
     absent = np.where(many > 0, np.log10(model.mixed), 0.0)
-    logs = Trie(get(path)).logs(cell, w, p1, absent)
+    logs = Trie(get(path)).logs(uc, uw, p1, absent, ci, wi)[which]
     out, end = [], 0
     for (pid, _), x, n in zip(packets, loaded, sizes):
         rows, number = np.unique(x["row"], return_inverse=True)
@@ -419,17 +433,22 @@ def train_and_score(docs: DataFrame, modulus: int = 7, rest: int = 2, discount:
 
     def tokenise(batches):
         m, pid, base = sent.value, TaskContext.get().partitionId(), 0
+        size, start = len(m.level1.hot), int(m.level1.hot_places(np.array([START]))[0])
         for batch in batches:
             for part in T.chunks(batch, "text"):
-                w, v, row = tokens(part)
+                w, row, first = tokens(part)
                 held = held_out(part.column(0), modulus, rest)
-                c = m.level1.counts(w)
-                p1 = (c + 1) / m.level1.whole
+                uw, wi = np.unique(w, return_inverse=True)
+                c, place = m.level1.counts(uw)[wi], m.level1.hot_places(uw)[wi]
+                del uw, wi
                 n = part.num_rows
                 tok = np.bincount(row, minlength=n)
-                vh, wh = m.level1.is_hot(v), m.level1.is_hot(w)
-                hot = np.flatnonzero(vh & wh)
-                partial = np.bincount(row[hot], weights=hot_logs(m, v[hot], w[hot], p1[hot]), minlength=n).astype(np.float64)
+                v_place = before(place, first, start)
+                vh = v_place >= 0
+                both = vh & (place >= 0)
+                pair, which = np.unique(v_place[both] * size + place[both], return_inverse=True)
+                logs = hot_logs(m, pair // size, pair % size)[which]
+                partial = np.bincount(row[both], weights=logs, minlength=n).astype(np.float64)
                 whole = part.column(0)
                 said = pa.RecordBatch.from_arrays([
                     pa.array(np.arange(base, base + n)), whole, pa.array(held), pa.array(tok), pa.array(np.bincount(row, weights=c > 0, minlength=n).astype(np.int64)),
@@ -438,11 +457,11 @@ def train_and_score(docs: DataFrame, modulus: int = 7, rest: int = 2, discount:
                 sink = io.BytesIO()
                 with pa.ipc.new_stream(sink, said.schema) as out:
                     out.write_batch(said)
-                cold = np.flatnonzero(~(vh & wh))
-                vc = m.level1.counts(v[cold])
+                cold = np.flatnonzero(~both)
+                v, vc = before(w, first, START)[cold], before(c, first, m.level1.starts)[cold]
                 many = m.buckets(vc, vh[cold])
                 bucket = (w[cold] & (many - 1).astype(U64)).astype(np.int64)
-                packets = list(packed(m, ~held[row[cold]], v[cold], w[cold], bucket, np.where(vh[cold], many, 0), row[cold] + base, pid))
+                packets = list(packed(m, ~held[row[cold]], v, w[cold], bucket, np.where(vh[cold], many, 0), row[cold] + base, pid))
                 packets.append((-1 - pid, pid, sink.getvalue()))
                 a, b, d = zip(*packets)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(d, pa.binary())], names=["shard", "pid", "data"])
