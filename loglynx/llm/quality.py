@@ -34,6 +34,7 @@ from loglynx.llm import text as T
 from loglynx.llm.common import free_name
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")  # parameter: folder of the public vocabularies
+CHUNK_BYTES = 2 << 20  # text measured at once: a token takes about 60 bytes meanwhile
 PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 
 SYMBOLS = np.zeros(256, np.int64)
@@ -218,7 +219,7 @@ def assess(docs: DataFrame, rules: Rules | None = None, key: str = "doc_id", tex
 
     def run(batches):
         for batch in batches:
-            for part in T.chunks(batch, "_t"):
+            for part in T.chunks(batch, "_t", CHUNK_BYTES):
                 got = measure(part, "_t", "_l", rules, model, ranks)
                 yield pa.RecordBatch.from_arrays([part.column(0), *_arrays(got).values()], names=["_k", *NAMES])
 
@@ -236,7 +237,7 @@ def keep(docs: DataFrame, rules: Rules | None = None, text: str = "text", lang:
 
     def run(batches):
         for batch in batches:
-            for part in T.chunks(batch, text):
+            for part in T.chunks(batch, text, CHUNK_BYTES):
                 kept = measure(part, text, mark, rules, model, ranks)["kept"]
                 yield part.filter(pa.array(kept))
 
