@@ -61,6 +61,8 @@ HOT_WORDS = 16384
 RESIDUES = 4096
 MAX_LEVEL_ONE = 2_000_000_000
 WORDS_PER_FILE = 4_000_000
+CHUNK_BYTES = 2 << 20   # text tokenised at once
+PACK_TOKENS = 2_000_000  # tokens whose packets share their tables of words and contexts
 STEP = 16.0 / 65535  # of the quantised logarithms
 
 
@@ -370,7 +372,7 @@ def _small(values: np.ndarray) -> np.ndarray:
 
 def packed(model: Model, train: np.ndarray, v: np.ndarray, w: np.ndarray, b: np.ndarray, many: np.ndarray, row: np.ndarray, pid: int):
     """The tokens of a chunk that need a shard, one packet for each shard: tables of contexts and words, and numbers into them."""
-    cell = cells(v, b, many)
+    cell = cells(v, b.astype(np.int64), many.astype(np.int64))
     order = np.argsort(cell, kind="stable")  # by shard, and rows ascending within a cell
     shard = (((cell >> U64(32)) * U64(model.shards)) >> U64(32)).astype(np.int64)
     edges = np.searchsorted(shard[order], np.arange(model.shards + 1))
@@ -431,11 +433,19 @@ def train_and_score(docs: DataFrame, modulus: int = 7, rest: int = 2, discount:
     model = Model(one, f"{folder}/hot", files, f"{folder}/two", shards, max(1, tokens_per_shard // 4), discount, mixed)
     sent = spark.sparkContext.broadcast(model)  # HOT_WORDS and RESIDUES numbers
 
+    def send(m, columns, pid):
+        whole = [np.concatenate(x) for x in zip(*columns)]
+        columns.clear()
+        packets = list(packed(m, *whole, pid))
+        for at in range(0, len(packets), 64):
+            yield _packets(packets[at:at + 64])
+
     def tokenise(batches):
         m, pid, base = sent.value, TaskContext.get().partitionId(), 0
+        held_back: list[tuple] = []  # columns of tokens that need a shard
         size, start = len(m.level1.hot), int(m.level1.hot_places(np.array([START]))[0])
         for batch in batches:
-            for part in T.chunks(batch, "text"):
+            for part in T.chunks(batch, "text", CHUNK_BYTES):
                 w, row, first = tokens(part)
                 held = held_out(part.column(0), modulus, rest)
                 uw, wi = np.unique(w, return_inverse=True)
@@ -461,11 +471,15 @@ def train_and_score(docs: DataFrame, modulus: int = 7, rest: int = 2, discount:
                 v, vc = before(w, first, START)[cold], before(c, first, m.level1.starts)[cold]
                 many = m.buckets(vc, vh[cold])
                 bucket = (w[cold] & (many - 1).astype(U64)).astype(np.int64)
-                packets = list(packed(m, ~held[row[cold]], v, w[cold], bucket, np.where(vh[cold], many, 0), row[cold] + base, pid))
-                packets.append((-1 - pid, pid, sink.getvalue()))
-                a, b, d = zip(*packets)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(d, pa.binary())], names=["shard", "pid", "data"])
+                held_back.append((~held[row[cold]], v, w[cold], bucket.astype(np.uint16), np.where(vh[cold], many, 0).astype(np.uint16),
+                                  (row[cold] + base).astype(np.uint32)))
+                yield _packets([(-1 - pid, pid, sink.getvalue())])
                 base += n
+                if sum(len(x[0]) for x in held_back) >= PACK_TOKENS:
+                    yield from send(m, held_back, pid)
+                    held_back = []
+        if held_back:
+            yield from send(m, held_back, pid)
 
     def score(batches):
         """Packets by shard; those of the documents themselves (negative shards) pass."""
