@@ -73,6 +73,21 @@ def test_templates_and_slots(spark):
     assert decontam.remove(docs, bench.limit(0)).count() == len(TEXTS)
 
 
+def test_names_that_open_sentences(spark):
+    items = [(1, "Tom has 5 apples. Tom buys 3 pears. Tom eats 2 plums. Tom sells 4 figs. How many are left?"),
+             (2, "What is the boiling point of water at sea level?"), (3, "Calculate the boiling point of water at this sea level."),
+             (4, "Draw the line. Colour the map with four colours so that no two neighbours share any of them.")]
+    texts = [(1, "Ann has 6 apples. Ann buys 2 pears. Ann eats 4 plums. Ann sells 9 figs. How many are left?"),
+             (2, "Question: What is the boiling point of water at sea level?"), (3, "and so on What is the boiling point of water at sea level?"),
+             (4, "Question: Calculate the boiling point of water at this sea level."), (5, "now calculate the boiling point of water at this sea level."),
+             (6, "Question:Calculate the boiling point of water at this sea level."), (7, items[3][1].lower()),
+             (8, "Ann has 6 apples. Ann buys 2 pears. Ann eats 4 plums. Eve peels 9 figs. Who eats them all?")]
+    docs, bench = spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = {r.doc_id: r for r in decontam.contaminated(docs, bench).collect()}
+    assert {d: r.item_id for d, r in got.items()} == {1: 1, 2: 2, 3: 2, 4: 3, 5: 3, 6: 3, 7: 4}
+    assert got[1].reparameterised and not got[2].reparameterised and got[2].n_windows == 3
+
+
 def test_decontamination_of_documents(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{DATA}/benchmark.parquet")
     want = brute_decontam([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
