@@ -88,6 +88,13 @@ def test_names_that_open_sentences(spark):
     assert got[1].reparameterised and not got[2].reparameterised and got[2].n_windows == 3
 
 
+def test_items_without_an_id(spark):
+    items = [(None, "what is the boiling point of water at home"), (None, QUESTIONS[5][1]), (1, "why do most birds fly south before each winter")]
+    docs = spark.createDataFrame([(1, items[0][1]), (2, f"{items[1][1]} {items[0][1]}"), (3, items[2][1])], "doc_id int, text string")
+    got = decontam.contaminated(docs, spark.createDataFrame(items, "item_id int, text string"))
+    assert sorted(((r.doc_id, r.item_id) for r in got.collect()), key=str) == [(1, None), (2, None), (2, None), (3, 1)]
+
+
 def test_decontamination_of_documents(spark, monkeypatch):
     docs, bench = documents(spark), spark.read.parquet(f"{DATA}/benchmark.parquet")
     want = brute_decontam([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in bench.collect()])
