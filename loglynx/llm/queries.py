@@ -177,3 +177,47 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loglynx.llm import lm
 
     return lm.train_and_score(table(spark, sf_dir, "documents"), modulus=7, rest=2)
+
+
+def centroid_sql(k: int = 40, rounds: int = 5, dim: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Assignment and update written out for each round."""
+    ctes = [f"""k AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda c: CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)""", f"""c0 AS MATERIALIZED (
+  SELECT CAST(nth - 1 AS INTEGER) AS cluster, x
+  FROM (SELECT x, row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, x) AS nth FROM k) WHERE nth <= {k})"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (
+  SELECT rid, vec_id, x, best.c AS cluster, best.d AS distance
+  FROM (SELECT k.rid, any_value(k.vec_id) AS vec_id, any_value(k.x) AS x, min({{'d': d, 'c': cluster}}) AS best
+        FROM (SELECT k.rid, k.vec_id, k.x, c.cluster,
+                     CAST(list_sum(list_transform(list_zip(k.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+              FROM k, c{i} c) k GROUP BY k.rid))""")
+        if i < rounds:
+            ctes.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.x, c.x) AS x
+  FROM c{i} c LEFT JOIN (
+    SELECT cluster, list(v ORDER BY j) AS x
+    FROM (SELECT cluster, j, CAST((sum(x[j]) - ((sum(x[j]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v
+          FROM a{i}, range(1, {dim} + 1) r(j) GROUP BY cluster, j) GROUP BY cluster) m USING (cluster))""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, a.cluster, distance, CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster
+"""
+
+
+@query("op11_centroid_clusters", centroid_sql())
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import centroids
+
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, seed=2)
+    return found.withColumn("centroid_sha256", F.sha2(F.concat_ws(",", F.col("centroid").cast("array<string>")), 256)).drop("centroid")
+
+
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
