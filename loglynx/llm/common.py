@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loglynx.session import checkpoint_root
+from loglynx.session import checkpoint_root, work_dir
 
 ASCII_WORD = r"[^\x20\x09-\x0D]+"
 HOT_SHARE = 512  # a key with more than 1/HOT_SHARE of all rows is hot: at most HOT_SHARE such keys exist
@@ -22,6 +22,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like ``cut``, as a Parquet table in a fresh folder of the shared folder.  For loops: a checkpoint
+    hands on the plan's estimated size, which joins of every round would multiply."""
+    path = f"{work_dir(df.sparkSession, name)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """A column name that ``df`` does not have (extra columns may clash)."""
     taken = {c.lower() for c in df.columns}

@@ -221,3 +221,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loglynx.llm import whitening
 
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
+
+
+@query("op13_minhash_near_dedup")
+def op13_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loglynx.llm import chosenpath
+
+    return chosenpath.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80, trees=10)
