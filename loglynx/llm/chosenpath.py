@@ -10,10 +10,10 @@ slots drawn from the node's path (100 / ``percent`` on average, so a linked pair
 common child on average); equal tokens go to the same child.  Nodes of one class end,
 small nodes are compared exhaustively, sketch against sketch.  In a larger node all
 classes are first compared with one of them: if that connects them all, the node ends, so
-groups of near copies do not branch for ever.  ``trees`` independent trees are grown: a
-pair of ``percent`` similarity that is parted in the first branching of a tree with
-probability 0.16 is found by one of ten; groups of thousands branch deeper, and 0.5 to
-0.6 of their pairs meet in a tree.  Sketches that agree in ``percent`` less four standard
+groups of near copies do not branch for ever.  ``trees`` independent trees are grown: the
+first ``DEPTH`` branchings part a pair of 80 percent similarity in 0.36 of all trees, and
+in all of ten with probability 0.00004; groups of thousands branch deeper, and 0.5 of
+their pairs meet in a tree.  Sketches that agree in ``percent`` less four standard
 deviations are candidates; the components of these are clusters.
 
 Confirmation.  A cluster's full sets are then compared in one task: each class reached is
@@ -50,6 +50,7 @@ from loglynx.llm import text as T
 from loglynx.llm.common import components, cut, join_hot, stored
 
 SLOTS = 128  # minwise tokens of a sketch, 16 bits each
+DEPTH = 3  # branchings before nodes are looked at: unrelated classes that share a token by chance rarely share three
 SMALL = 384  # classes of a node that are compared exhaustively
 LOCAL = 1 << 14  # classes of a node that one task branches further: 4 MB of sketches
 WORK = 1 << 31  # classes times tokens of a cluster that one task searches exactly
@@ -370,8 +371,11 @@ def candidates(classes: DataFrame, percent: int, trees: int, local: int = LOCAL)
             if batch.num_rows:
                 ids, sketch = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1))
                 for tree in range(trees):
-                    at, child = children(np.full(len(ids), root(tree)), sketch, percent)
-                    yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[at])], names=["node", "class_id"])
+                    at, node = np.arange(len(ids)), np.full(len(ids), root(tree))
+                    for _ in range(DEPTH):
+                        on, node = children(node, sketch[at], percent)
+                        at = at[on]
+                    yield pa.RecordBatch.from_arrays([pa.array(node.view(np.int64)), pa.array(ids[at])], names=["node", "class_id"])
 
     keys = classes.select("class_id", "sketch").mapInArrow(first, "node long, class_id long")
     shared = keys.groupBy("node").count().where("count > 1").select("node")
