@@ -21,14 +21,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
 from ..sources.catalogue import CONDITION_SCHEMA, Catalogue
+from .refire import FOLD_BUCKETS, suppress_refires  # noqa: F401
 
 
 def _ts(x) -> Column:
@@ -220,125 +218,6 @@ def replay_candidates(events: DataFrame, cat: Catalogue, matched: DataFrame | No
         "rule_idx", "key", "sec", "window_secs", count.alias("window_count"))
 
 
-FOLD_BUCKETS = 64  # windows in one span
-
-
-def _walk(sec: np.ndarray, width: int, last: int | None) -> list[int]:
-    """Greedy fires among sorted seconds: the first candidate later than last + W, and so on."""
-    out = []
-    j = 0 if last is None else int(np.searchsorted(sec, last + width, side="right"))
-    while j < len(sec):
-        out.append(j)
-        j = int(np.searchsorted(sec, int(sec[j]) + width, side="right"))
-    return out
-
-
-def _pieces(key_cols: list[str]):
-    """Runs of rows of one (key, span) of a sorted stream, across Arrow batches; a run is at most
-    one second-row for each second of a span, whatever the key's volume."""
-    def pieces(batches):
-        held, current = [], None
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            ids = pdf.groupby([*key_cols, "span"], sort=False, dropna=False).ngroup().to_numpy()
-            bounds = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(pdf)]
-            for a, b in zip(bounds[:-1], bounds[1:]):
-                part = pdf.iloc[a:b]
-                this = tuple(part[c].iloc[0] for c in [*key_cols, "span"])
-                if held and this != current:
-                    yield pd.concat(held) if len(held) > 1 else held[0]
-                    held = []
-                held.append(part)
-                current = this
-        if held:
-            yield pd.concat(held) if len(held) > 1 else held[0]
-    return pieces
-
-
-def suppress_refires(cands: DataFrame, key_cols: list[str], window_col: str = "window_secs") -> DataFrame:
-    """Greedy suppression of candidates (column ``sec``) per key.
-
-    Which candidates fire depends on the last fire before them, so a key is cut
-    into spans of FOLD_BUCKETS windows that are worked on separately.  Fires are
-    more than W apart: the last fire before a span matters only if it lies in the
-    W seconds before the span's first candidate, and it is itself a candidate of
-    the span before.  A first pass summarises each span as a map from every last
-    fire that can enter (none, or a candidate among the last W seconds of the span
-    before) to the one that leaves; as fires that enter differently soon meet, the
-    walk of a further entry stops where it joins an earlier one.  A second pass
-    chains the few summaries of a key in order, and a third walks every span with
-    the fire that truly enters it.  So a key's history is split over many tasks; only
-    its summaries, one per span, meet in one.
-    """
-    columns, schema = cands.columns, cands.schema
-    keys_schema = [schema[c] for c in key_cols]
-    width = F.greatest(F.col(window_col), F.lit(1))
-    spanned = materialize(cands).withColumn("span", F.floor(F.col("sec") / (width * FOLD_BUCKETS)).cast("long"))
-    pieces = _pieces(key_cols)
-    # the candidates of the last W seconds of a span may enter the next one
-    late = F.col("sec") >= (F.col("span") + 1) * width * FOLD_BUCKETS - width
-    own, into = F.struct("span", F.lit(False).alias("entry")), F.struct((F.col("span") + 1).alias("span"), F.lit(True).alias("entry"))
-    both = spanned.select(*key_cols, "sec", window_col, F.explode(F.when(late, F.array(own, into)).otherwise(F.array(own))).alias("at"))
-    both = both.select(*key_cols, "sec", window_col, "at.span", "at.entry")
-    both = both.repartition(*key_cols, "span").sortWithinPartitions(*key_cols, "span", "sec")
-
-    def summarise(batches):
-        for pdf in pieces(batches):
-            entry = pdf["entry"].to_numpy(dtype=bool)
-            sec = pdf["sec"].to_numpy(dtype=np.int64)
-            own, enter = sec[~entry], sec[entry]
-            if not len(own):
-                continue
-            w = int(pdf[window_col].iloc[0])
-            leaves: dict[int, int] = {}  # fire -> the span's last fire after it
-            exits = []
-            for last in [None, *enter.tolist()]:
-                path = []
-                j = 0 if last is None else int(np.searchsorted(own, last + w, side="right"))
-                while j < len(own) and j not in leaves:
-                    path.append(j)
-                    j = int(np.searchsorted(own, int(own[j]) + w, side="right"))
-                end = leaves[j] if j < len(own) else (int(own[path[-1]]) if path else last)
-                leaves.update(dict.fromkeys(path, end))
-                exits.append(end)
-            row = {c: [pdf[c].iloc[0]] for c in [*key_cols, "span"]}
-            yield pd.DataFrame(row | {"w": [w], "first": [int(own[0])], "enter": [enter.tolist()], "leave": [exits]})
-
-    summary_schema = T.StructType([*keys_schema, T.StructField("span", T.LongType()), T.StructField("w", T.LongType()),
-                                   T.StructField("first", T.LongType()), T.StructField("enter", T.ArrayType(T.LongType())),
-                                   T.StructField("leave", T.ArrayType(T.LongType()))])
-    summaries = both.mapInPandas(summarise, summary_schema)
-
-    def chain(batches):
-        current, last = None, None
-        for pdf in batches:
-            entering = []
-            for *key, w, first, enter, leave in zip(*(pdf[c] for c in [*key_cols, "w", "first", "enter", "leave"])):
-                if key != current:
-                    current, last = key, None
-                if last is not None and last + w < first:
-                    last = None  # it silences nothing here
-                entering.append(last)
-                at = {e: i + 1 for i, e in enumerate(enter)}
-                last = leave[0 if last is None else at[last]]
-            yield pdf[[*key_cols, "span"]].assign(last=pd.array(entering, dtype="Int64"))
-
-    chain_schema = T.StructType([*keys_schema, T.StructField("span", T.LongType()), T.StructField("last", T.LongType())])
-    entering = summaries.repartition(*key_cols).sortWithinPartitions(*key_cols, "span").mapInPandas(chain, chain_schema)
-    told = spanned.alias("c").join(entering.alias("e"), reduce(lambda a, b: a & b, [
-        F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in [*key_cols, "span"]])).select("c.*", F.col("e.last").alias("_last"))
-    told = told.repartition(*key_cols, "span").sortWithinPartitions(*key_cols, "span", "sec")
-
-    def fire(batches):
-        for pdf in pieces(batches):
-            last = pdf["_last"].iloc[0]
-            keep = _walk(pdf["sec"].to_numpy(dtype=np.int64), int(pdf[window_col].iloc[0]), None if pd.isna(last) else int(last))
-            yield pdf.iloc[keep][columns]
-
-    return told.mapInPandas(fire, schema)
-
-
 def replay_fired(events: DataFrame, cat: Catalogue) -> DataFrame:
     """Replay candidates after W7 suppression: rule_idx, key, sec, window_secs, window_count."""
     return suppress_refires(replay_candidates(events, cat), ["rule_idx", "key"])

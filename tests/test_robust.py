@@ -125,6 +125,29 @@ def test_suppression_by_spans_against_a_walk(spark):
     assert tasks > 1
 
 
+@pytest.mark.parametrize("windows,limit", [(1, 1 << 20), (2, 1 << 20), (64, 30)])
+def test_suppression_of_short_spans(spark, monkeypatch, windows, limit):
+    """Fires that enter a span from several spans before it, seconds before 1970, and repeated seconds."""
+    from loglynx.operators import refire
+
+    monkeypatch.setattr(refire, "FOLD_BUCKETS", windows)
+    monkeypatch.setattr(refire, "SPAN_SECONDS", limit)
+    rnd = random.Random(windows)
+    rows, want = [], []
+    for key in range(60):
+        w = rnd.choice((1, 3, 10, 40))
+        secs = sorted(rnd.choices(range(-200, 400), k=rnd.choice((1, 5, 60, 400))))
+        rows += [(f"k{key}", s, w, s % 3) for s in secs]
+        last = None
+        for s in secs:
+            if last is None or s > last + w:
+                want.append((f"k{key}", s, w, s % 3))
+                last = s
+    out = C.suppress_refires(spark.createDataFrame(rows, "key string, sec long, w int, extra int").repartition(3), ["key"], "w")
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+    assert C.suppress_refires(out.filter("false"), ["key"], "w").count() == 0
+
+
 def test_newest_ids_of_a_crowded_second(spark):
     rows = [{"ts": f"2026-01-01 00:00:{s:02d}", "source": "auth_log", "event_type": "auth_failure", "src_ip": "1.1.1.1", "event_id": 1000 * s + i}
             for s in (1, 2) for i in range(80)]
