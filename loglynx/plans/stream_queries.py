@@ -4,13 +4,19 @@ The oracle is the batch SQL of the same semantics (batch = stream)."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ..operators import correlate as C
 from ..schema import iso_text
+from ..session import work_dir
 from ..sinks import tables as TB
 from ..sources import logs as L
 from ..sources import render as RD
+from ..sources import tail as TL
 from ..sources import testbed as tb
 from ..sources.catalogue import Catalogue
 from ..streaming import rules as SR
@@ -156,6 +162,47 @@ def stream_scanner_alerts(spark, sf_dir):
                     "event_count")
 
 
+def _grow_logs(lines, folder: str, upto: int) -> None:
+    """The log files as they are once ``upto`` chunks were written: each task writes one file's lines in order
+    and puts it in place whole, so a file only ever grows, also if a task runs twice."""
+    rows = lines.filter(F.col("chunk") <= upto).select("log", "ts", "value")
+
+    def write(key, table):
+        table = table.sort_by([("ts", "ascending"), ("value", "ascending")])
+        os.makedirs(folder, exist_ok=True)
+        path = f"{folder}/auth-{key[0].as_py()}.log"
+        new = f"{folder}/.{uuid.uuid4().hex}"
+        with open(new, "w", encoding="utf-8") as f:
+            f.writelines(f"{v}\n" for v in table.column("value").to_pylist())
+        os.replace(new, path)
+        return pa.table({"log": [key[0].as_py()], "n": [table.num_rows]})
+    rows.groupBy("log").applyInArrow(write, "log long, n long").write.format("noop").mode("overwrite").save()
+
+
+@query("stream_tail_alerts", _fired_sql(BRUTE_ONLY))
+def stream_tail_alerts(spark, sf_dir):
+    """Growing log files followed by one running query with a processing-time trigger (``run_continuous``):
+    every chunk is appended to the same files, by address, while the query runs."""
+    lines = RD.auth_lines(spark, sf_dir).withColumn("chunk", chunk_of(F.col("ts")))
+    logs = max(1, lines.count() // 20_000)  # the number of log files follows the rows
+    lines = lines.withColumn("log", F.pmod(F.xxhash64(F.regexp_extract("value", r"from (\S+)", 1)), F.lit(logs)))
+    work = work_dir(spark, "stream-tail")
+    folder = f"{work}/logs"
+    events = L.parse_auth(TL.tail_lines(spark, f"{folder}/*.log", start="start"), OPTS)
+    q = SR.run_continuous(SR.exact_rule_alerts(events, BRUTE_ONLY, watermark="1 day"),
+                          lambda b, i: TB.write_batch(b, f"{work}/out", i), f"{work}/ckpt", trigger_secs=0)
+    try:
+        for i in range(N_CHUNKS):
+            _grow_logs(lines, folder.replace("file:", ""), i)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    fires = spark.read.parquet(f"{work}/out").withColumnRenamed("window_count", "event_count")
+    a = C.alert_frame(fires, BRUTE_ONLY, F.timestamp_seconds("sec"))
+    return a.select("rule_name", "kind", "group_by", "group_value", iso_text("created_at").alias("created_at"),
+                    "event_count")
+
+
 CROSS_CAT = Catalogue(rules=[r for r in tb.catalogue().rules if r["name"] == "unknown_device_then_portscan"], chains=[], tags=tb.catalogue().tags)
 
 
