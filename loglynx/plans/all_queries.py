@@ -6,3 +6,4 @@ from . import parse_queries  # noqa: F401
 from . import serve_queries  # noqa: F401
 from . import stream_queries  # noqa: F401
 from . import robust_queries  # noqa: F401
+from . import file_queries  # noqa: F401

@@ -111,8 +111,8 @@ def ingest_files(spark, sf_dir):
         lines.select("value").write.text(f"{root}/{name}")
     # a day's records are one JSON file, as the monitors write them
     for name, lines, head, tail in (("netwatch", record_lines(spark, sf_dir), "[", "]"), ("homeguard", RD.homeguard_lines(spark, sf_dir), '{"alerts": [', "]}")):
-        part = F.pmod(F.xxhash64("value"), F.lit(16))
         good = lines.filter(L._is_record(F.col("value")))
+        part = F.pmod(F.xxhash64("value"), F.lit(max(16, good.count() // 10_000)))  # files of bounded size: their number follows the rows
         files = good.groupBy(part.alias("part")).agg(F.concat(F.lit(head), F.array_join(F.collect_list("value"), ", "), F.lit(tail)).alias("value"))
         files.repartition("part").write.partitionBy("part").text(f"{root}/{name}")
     ev = L.ingest(spark, {k: [f"{root}/{k}"] for k in ("auth", "syslog", "nginx")} | {k: [f"{root}/{k}/*"] for k in ("netwatch", "homeguard")}, OPTS)

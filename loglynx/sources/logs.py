@@ -27,6 +27,7 @@ from ..functions.normalize import (
     strip,
     web_severity,
 )
+from .tail import placed_lines
 
 # ---------------------------------------------------------------------------
 # Line patterns and message texts.  These must stay as
@@ -158,6 +159,11 @@ def read_lines(spark: SparkSession, paths, stream: bool = False, **opts) -> Data
     return df
 
 
+def _place(df: DataFrame) -> list[str]:
+    """Where a row comes from: its file, and where lines were read with their places (``tail.placed_lines``) the byte."""
+    return ["file_path", *(["line_at"] if "line_at" in df.columns else [])]
+
+
 def _lines_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
 
@@ -167,7 +173,8 @@ def finish_events(df: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
 
     Expects columns ts, source, event_type, severity, message, src_ip, dst_ip,
     user, raw, extra, file_path.  ``event_id`` is a deterministic hash of
-    file and line, so re-reading a file gives the same ids.
+    file, line and, if there is a column ``line_at``, the line's place in the file:
+    re-reading a file gives the same ids, and equal lines have ids of their own.
     """
     opts = opts or ParseOptions()
     fallback = opts.ingest_ts
@@ -178,7 +185,7 @@ def finish_events(df: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     if fallback is not None:
         ts = F.coalesce(ts, F.date_trunc("second", fallback))
     return df.select(
-        F.xxhash64(F.col("file_path"), F.col("raw")).alias("event_id"),
+        F.xxhash64(*_place(df), F.col("raw")).alias("event_id"),
         ts.alias("ts"),
         coerce_source(F.col("source")).alias("source"),
         coerce_event_type(F.col("event_type")).alias("event_type"),
@@ -252,7 +259,7 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     opts = opts or ParseOptions()
     opts.need_year("auth")
     P = AUTH_PATTERNS
-    df = lines.select("file_path", strip(F.col("value")).alias("line"))
+    df = lines.select(*_place(lines), strip(F.col("value")).alias("line"))
     df = _once(df, kind=_kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
     line, kind = F.col("line"), F.col("kind")
     # one regex pass per line: the detected kind's pattern rewrites the line to
@@ -267,7 +274,7 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     user = F.when(kind == "user_created", F.regexp_replace(_field(g, 1), ",$", "")).otherwise(_field(g, 1))  # "name=x," -> x
     ip = F.when(kind.isin("auth_failure", "auth_success"), _field(g, 2))
     command = F.when(kind == "sudo_command", strip(_field(g, 2)))
-    df = df.select("file_path", "line", "kind", user.alias("user"), ip.alias("src_ip"),
+    df = df.select(*_place(df), "line", "kind", user.alias("user"), ip.alias("src_ip"),
                    command.alias("command"), _field(g, 0).alias("ts_raw"))
     u, ipc, cmd = F.col("user"), F.col("src_ip"), F.col("command")
     message = (
@@ -293,7 +300,7 @@ def parse_auth(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
         u.alias("user"),
         line.alias("raw"),
         F.when(kind == "sudo_command", F.to_json(F.struct(cmd.alias("command")), _JSON_OPTS)).alias("extra"),
-        F.col("file_path"),
+        *_place(df),
     )
     return finish_events(out, opts)
 
@@ -303,7 +310,7 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
     opts = opts or ParseOptions()
     opts.need_year("syslog")
     P = SYSLOG_PATTERNS
-    df = lines.select("file_path", strip(F.col("value")).alias("line"))
+    df = lines.select(*_place(lines), strip(F.col("value")).alias("line"))
     df = _once(df, kind=_kind(F.col("line"), P)).filter(F.col("kind").isNotNull())
     line, kind = F.col("line"), F.col("kind")
     # one regex pass per line for the kind's groups (ts first)
@@ -321,7 +328,7 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
     if opts.extract_pam_user:
         pam_user = F.nullif(_x(line, PAM_USER, 1), F.lit(""))
     user = F.when(kind == "pam_failure", pam_user)
-    df = df.select("file_path", "line", "kind", service.alias("service"), action.alias("action"),
+    df = df.select(*_place(df), "line", "kind", service.alias("service"), action.alias("action"),
                    process.alias("process"), user.alias("user"), _field(g, 0).alias("ts_raw"),
                    _x(line, "^" + TS + r"\s+(\S+)", 2).alias("host"))
     svc, act, proc, u, host = F.col("service"), F.col("action"), F.col("process"), F.col("user"), F.col("host")
@@ -366,7 +373,7 @@ def parse_syslog(lines: DataFrame, opts: ParseOptions | None = None) -> DataFram
         u.alias("user"),
         line.alias("raw"),
         extra.alias("extra"),
-        F.col("file_path"),
+        *_place(df),
     )
     return finish_events(out, opts)
 
@@ -375,11 +382,11 @@ def parse_web_lines(lines: DataFrame, source: str = "nginx", opts: ParseOptions
     """Combined access log lines -> web_access / web_error rows plus ``status`` (no relabel)."""
     opts = opts or ParseOptions()
     line = F.col("line")
-    df = lines.select("file_path", strip(F.col("value")).alias("line")).filter(_matches(line, WEB_PATTERN))
+    df = lines.select(*_place(lines), strip(F.col("value")).alias("line")).filter(_matches(line, WEB_PATTERN))
     # one regex pass for all six fields (instead of one regexp_extract per field)
     g = _groups(line, WEB_PATTERN, 6)
     df = _once(df, g=g).select(
-        "file_path", "line",
+        *_place(df), "line",
         _field(F.col("g"), 0).alias("src_ip"),
         F.when(_field(F.col("g"), 1) != "-", _field(F.col("g"), 1)).alias("user"),
         _field(F.col("g"), 2).alias("ts_raw"),
@@ -399,7 +406,7 @@ def parse_web_lines(lines: DataFrame, source: str = "nginx", opts: ParseOptions
         F.col("user"),
         line.alias("raw"),
         F.to_json(F.struct("method", "path", "status"), _JSON_OPTS).alias("extra"),
-        F.col("file_path"),
+        *_place(df),
         st,
     )
 
@@ -447,7 +454,7 @@ def parse_web(lines: DataFrame, source: str = "nginx", opts: ParseOptions | None
 def parse_ids(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
     """IDS EVE NDJSON lines -> events; only ``event_type == 'alert'`` records."""
     opts = opts or ParseOptions()
-    df = lines.select("file_path", strip(F.col("value")).alias("line"))
+    df = lines.select(*_place(lines), strip(F.col("value")).alias("line"))
     df = _once(df, o=F.from_json(F.col("line"), IDS_SCHEMA))
     df = df.filter(F.col("o.event_type") == "alert")
     o = F.col("o")
@@ -469,7 +476,7 @@ def parse_ids(lines: DataFrame, opts: ParseOptions | None = None) -> DataFrame:
             o["alert"]["signature_id"].alias("sid"), o["proto"].alias("proto"),
             o["src_port"].alias("src_port"), o["dest_port"].alias("dest_port"),
         ), _JSON_OPTS).alias("extra"),
-        F.col("file_path"),
+        *_place(df),
     )
     return finish_events(out, opts)
 
@@ -491,7 +498,7 @@ def netwatch_records(recs: DataFrame, opts: ParseOptions | None = None) -> DataF
         F.lit(None).cast("string").alias("user"),
         F.col("rec").alias("raw"),
         F.col("rec").alias("extra"),
-        F.col("file_path"),
+        *_place(recs),
     )
     return finish_events(out, opts)
 
@@ -513,7 +520,7 @@ def homeguard_records(recs: DataFrame, opts: ParseOptions | None = None) -> Data
         F.lit(None).cast("string").alias("user"),
         F.col("rec").alias("raw"),
         F.to_json(F.struct(mac.alias("mac"), vendor.alias("vendor")), _JSON_OPTS).alias("extra"),
-        F.col("file_path"),
+        *_place(recs),
     )
     return finish_events(out, opts)
 
@@ -562,7 +569,7 @@ def json_lines_records(lines: DataFrame, source: str, opts: ParseOptions | None
     """Same mappers over NDJSON lines (one record per line), for streams and bulk data."""
     if source not in JSON_RECORD_SCHEMAS:
         raise ValueError(f"Unknown JSON source: {source}")
-    return _typed_records(lines.select("file_path", strip(F.col("value")).alias("rec")), source, opts)
+    return _typed_records(lines.select(*_place(lines), strip(F.col("value")).alias("rec")), source, opts)
 
 
 # Line-parser registry: source kind -> (lines DataFrame, options) -> events.
@@ -605,9 +612,11 @@ def parse_kind(kind: str, lines: DataFrame, opts: ParseOptions | None = None) ->
     return LINE_PARSERS[kind](lines, opts)
 
 
-def ingest(spark: SparkSession, sources: dict, opts: ParseOptions | None = None) -> DataFrame:
+def ingest(spark: SparkSession, sources: dict, opts: ParseOptions | None = None, places: bool = True) -> DataFrame:
     """Multi-source batch ingest: ``{kind: paths}`` -> one normalised event table.
 
+    ``places``: lines are read with their places, so equal lines of a file are events of
+    their own; without, Spark's text reader is used and they share an id.
     Text kinds are read line by line; ``netwatch`` / ``homeguard`` paths are
     whole JSON files (array or ``{"alerts": [...]}``).
     """
@@ -618,7 +627,7 @@ def ingest(spark: SparkSession, sources: dict, opts: ParseOptions | None = None)
         if kind in JSON_RECORD_SCHEMAS:
             parts.append(read_json_alerts(spark, paths, kind, opts))
         else:
-            parts.append(parse_kind(kind, read_lines(spark, paths), opts))
+            parts.append(parse_kind(kind, placed_lines(spark, paths) if places else read_lines(spark, paths), opts))
     if not parts:
         raise ValueError("no sources given")
     return reduce(lambda a, b: a.unionByName(b), parts)

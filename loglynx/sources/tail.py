@@ -18,8 +18,8 @@ stopped, and a batch that is run again reads the same bytes.
 
 Only ``\\n`` ends a line (a ``\\r`` before it goes); bytes that are not UTF-8 become U+FFFD; a
 line is read by the task in whose range it begins, however long it is.  Files that vanish
-before they are read, or have no whole line yet, have no rows; compressed files are not
-followed.  The offset grows with the number of files followed, not with their size.
+before they are read, or have no whole line yet, have no rows; compressed files are read
+whole in a batch and not followed.  The offset grows with the number of files followed, not with their size.
 """
 
 from __future__ import annotations
@@ -38,6 +38,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 
 SCHEMA = "file_path string, line_at long, value string"
 BLOCK = 4 << 20
+PACKED = (".gz", ".bz2", ".zst", ".lz4")  # read whole, by one task each; places are those of the unpacked bytes
 FIRST_LINE = 4096  # bytes of the first line that tell a file from another
 SPLIT = 64 << 20
 ROTATED = re.compile(r"(\.\d+|-\d{8})$")
@@ -102,6 +103,8 @@ def ends(paths: str) -> dict:
     """{identity: [URI, byte behind the last whole line]} of the files as they are now."""
     out: dict[str, list] = {}
     for uri, size in files(paths):
+        if uri.endswith(PACKED):
+            continue
         try:
             who = identity(uri)
             at = last_line_end(uri, size) if who else 0
@@ -133,13 +136,15 @@ def read_range(part: Range) -> Iterator[pa.RecordBatch]:
     if part.begin >= part.end:
         return
     fs, path = _store(part.uri)
+    packed = part.uri.endswith(PACKED)
     try:
-        f = fs.open_input_file(path)
+        f = fs.open_input_stream(path, compression="detect") if packed else fs.open_input_file(path)
     except OSError:
         return
     with f:
         at = part.begin
-        f.seek(at if part.whole else at - 1)
+        if not packed:
+            f.seek(at if part.whole else at - 1)
         skip = not part.whole  # a line that began before belongs to the range before
         at -= skip
         rest = b""
@@ -169,7 +174,9 @@ class _Reader(DataSourceReader):
         self.paths, self.split = paths, split
 
     def partitions(self):
-        return [r for uri, size in files(self.paths) for r in ranges(uri, 0, size, self.split)] or [NOTHING]
+        found = files(self.paths)
+        return [r for uri, size in found if not uri.endswith(PACKED) for r in ranges(uri, 0, size, self.split)
+                ] + [Range(uri, 0, 1 << 62, True, 1 << 62) for uri, _ in found if uri.endswith(PACKED)] or [NOTHING]
 
     def read(self, part: Range):
         yield from read_range(part)
