@@ -257,3 +257,27 @@ def test_scanner_relabel_in_a_stream_equals_the_batch(spark):
     work = RN.run_chunks(spark, df.unionByName(flush), F.col("c"), 5, build, RN.parquet_sink, "t-relabel")
     got = sorted((r.message, r.event_type, r.severity) for r in spark.read.parquet(f"{work}/out").collect() if not r.src_ip.startswith("1.1.1."))
     assert got == want and any(t == "web_scan" for _, t, _ in want)
+
+
+@pytest.mark.parametrize("bucket_rows", [None, 7])
+def test_consecutive_failures_of_one_second(spark, bucket_rows):
+    """One address with all rows in two seconds: buckets follow the rows, not the clock."""
+    from loglynx.operators import sequences as SQ
+    from loglynx.operators.scans import dealt
+
+    rnd = random.Random(3)
+    rows, want, run = [], {}, 0
+    for i in range(200):
+        ok = rnd.random() < 0.2
+        run = 0 if ok else run + 1
+        rows.append({"ts": f"2026-01-01 00:00:{i // 100:02d}", "source": "auth_log", "event_type": "auth_success" if ok else "auth_failure",
+                     "src_ip": "1.1.1.1", "event_id": i})
+        if not ok:
+            want[i] = run
+    rows += [dict(rows[0], src_ip=None, event_id=900), dict(rows[0], src_ip="2.2.2.2", event_type="auth_failure", event_id=901)]
+    ev = events_df(spark, rows)
+    got = SQ.consecutive_failures(ev, bucket_rows=bucket_rows)
+    assert {r.event_id: r.consecutive for r in got.collect()} == want | {901: 1} and "_bucket" not in got.columns
+    if bucket_rows:
+        sizes = [r["count"] for r in dealt(ev.filter("src_ip is not null"), ["src_ip"], ["ts", "event_id"], bucket_rows).groupBy("_bucket").count().collect()]
+        assert len(sizes) > 20 and max(sizes) <= 4 * bucket_rows
