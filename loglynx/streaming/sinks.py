@@ -2,8 +2,8 @@
 
 Each micro-batch: append the batch's alerts to the alert table, raise chain
 alerts whose trigger is in this batch (``then`` looked up in the whole alert
-table), suppress repeats against the chain table, and merge the batch into
-the reputation snapshot.  Every write is keyed by the batch id, so a batch
+table), suppress repeats against the chain table, and add the batch to
+the reputation log.  Every write is keyed by the batch id, so a batch
 that is re-run after a failure replaces its own output.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import chain as CH
 from ..operators import correlate as C
 from ..operators import notify as NT
+from ..sinks import reputation_log as RL
 from ..sinks import tables as TB
 from ..sources.catalogue import Catalogue
 
@@ -29,35 +30,11 @@ def _read_or_none(spark, path: str, schema=None):
         return None
 
 
-def _latest_snapshot(spark, root: str, before: int):
-    """Newest committed reputation snapshot version strictly before ``before`` (or None).
-
-    Versions are ``v=<batch id>`` folders; a folder is only visible once its
-    write job committed, so a batch that died half-way is never read."""
-    snaps = _read_or_none(spark, root)
-    if snaps is None or "v" not in snaps.columns:
-        return None
-    v = snaps.filter(F.col("v") < before).agg(F.max("v")).first()[0]
-    if v is None:
-        return None
-    return snaps.filter(F.col("v") == v).drop("v")
-
-
-def _drop_versions(spark, root: str, before: int) -> None:
-    """Remove snapshot versions older than ``before``: a batch that is run again needs the one before it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("v=") and int(name[2:]) < before:
-            fs.delete(status.getPath(), True)
-
-
 def alert_sink(cat: Catalogue, table_dir: str, min_severity: str = "HIGH", app_name: str = "loglynx"):
     """Build the foreachBatch function for a stream of fires (rule_idx, key, sec, window_count).
 
     Tables under ``table_dir``: alerts, chains, outbox (notifications at or above
-    ``min_severity`` for this batch's alerts and chains), reputation/v=<batch>."""
+    ``min_severity`` for this batch's alerts and chains), reputation (``sinks.reputation_log``)."""
     alerts_path = f"{table_dir}/alerts"
     outbox_path = f"{table_dir}/outbox"
     chains_path = f"{table_dir}/chains"
@@ -100,17 +77,14 @@ def alert_sink(cat: Catalogue, table_dir: str, min_severity: str = "HIGH", app_n
         else:
             notify = mine
         TB.write_batch(NT.outbox(notify.drop("batch"), min_severity, app_name), outbox_path, batch_id)
-        prev_snap = _latest_snapshot(spark, rep_root, batch_id)
-        snap = TB.merge_reputation(prev_snap, TB.reputation_delta(mine, cat.tags))
-        snap.write.mode("overwrite").parquet(f"{rep_root}/v={batch_id}")
-        _drop_versions(spark, rep_root, batch_id - 1)
+        RL.add_batch(spark, rep_root, TB.reputation_delta(mine, cat.tags), batch_id)
 
     return handle
 
 
 def latest_reputation(spark, table_dir: str):
-    """The newest complete reputation snapshot in reputation-table shape."""
-    snap = _latest_snapshot(spark, f"{table_dir}/reputation", 1 << 62)
+    """The reputation of all batches so far, in reputation-table shape."""
+    snap = RL.snapshot(spark, f"{table_dir}/reputation")
     if snap is None:
         return None
     return TB.snapshot_view(snap)

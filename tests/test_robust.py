@@ -197,9 +197,10 @@ def test_alert_sink_with_empty_batches(spark):
     handle(none, 2)
     assert spark.read.parquet(f"{root}/alerts").count() == 1
     assert [(r.ip, r.score) for r in SS.latest_reputation(spark, root).collect()] == [("1.1.1.1", 15)]
-    assert sorted(x for x in os.listdir(f"{root}/reputation".replace("file:", "")) if x.startswith("v=")) == ["v=1", "v=2"]
+    assert sorted(x for x in os.listdir(f"{root}/reputation".replace("file:", "")) if "=" in x) == ["d=0", "d=1", "d=2"]
     handle(none, 1)  # the batch now has no fire: its old rows must not stay
     assert spark.read.parquet(f"{root}/alerts").count() == 0
+    assert SS.latest_reputation(spark, root) is None
 
 
 def test_event_table_reruns_and_file_counts(spark):
