@@ -129,18 +129,23 @@ def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int = 3, seed: int = 42) -> DataFrame:
-    """The mixed corpus: the columns of ``docs`` plus ``copy`` (0-based), one row for each copy taken.
-    The plan is narrow; each text that is taken is shuffled once, to meet its number of copies."""
+    """The mixed corpus: the columns of ``docs`` plus ``copy`` (0-based; it replaces a column of that name), one row
+    for each copy taken.  The plan is narrow; each text that is taken is shuffled once, to meet its number of copies.
+    Rows alike in id, source and text take their numbers in the order of a hash of their other columns."""
     plan = plan_mix(docs, weights, max_repeat, seed)
     plan = plan.groupBy("doc_id", "source", "tie").agg(F.sort_array(F.collect_list(F.col("copies").cast("int")), asc=False).alias("m_copies"))
     plan = cut(plan.where("m_copies[0] > 0").select(
         F.col("doc_id").alias("m_doc"), F.col("source").alias("m_source"), F.col("tie").alias("m_tie"), "m_copies"))
     tie = F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")
-    same = F.col("doc_id").eqNullSafe(F.col("m_doc")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("d_tie") == F.col("m_tie"))
-    rows = docs.withColumn("d_tie", tie)
+    same = F.col("d_doc").eqNullSafe(F.col("m_doc")) & F.col("d_source").eqNullSafe(F.col("m_source")) & (F.col("d_tie") == F.col("m_tie"))
+    hashed = [f"`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    # the row as one value: no name of its columns meets a name of the plan
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d_row"), F.col("doc_id").alias("d_doc"),
+                       F.col("source").alias("d_source"), tie.alias("d_tie"), F.xxhash64(*hashed).alias("d_rest"))
     single = rows.join(plan.where("size(m_copies) = 1"), same).withColumn("n_copies", F.col("m_copies")[0])
     # rows alike: each takes one entry of their group's list
-    nth = Window.partitionBy("m_doc", "m_source", "m_tie").orderBy(F.lit(0))
+    nth = Window.partitionBy("m_doc", "m_source", "m_tie").orderBy("d_rest")
     alike = rows.join(plan.where("size(m_copies) > 1"), same).withColumn("n_copies", F.col("m_copies")[F.row_number().over(nth) - 1])
     out = single.unionByName(alike).where("n_copies > 0")
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"))
+    return out.select(*[F.col("d_row")[c].alias(c) for c in docs.columns if c.lower() != "copy"],
+                      F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)).alias("copy"))

@@ -258,13 +258,14 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, segments: int
     out = docs.where(F.col(key).isNotNull()).join(gone.distinct(), key, "left_anti").select(*docs.columns)
     if again.isEmpty():
         return out
+    c_fp, c_key, c_again = (free_name(docs, n) for n in ("simhash_of", "simhash_key", "simhash_again"))
     chosen = found.where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("fp").alias("c_fp"), F.min("component_id").alias("c_key"))
+        F.min("fp").alias(c_fp), F.min("component_id").alias(c_key)).select(c_fp, c_key)
     fp, nth = free_name(docs, "simhash_fp"), free_name(docs, "simhash_nth")
-    some = again.select(F.col(key).alias("c_again"))
-    copies = docs.join(some, F.col(key).eqNullSafe(F.col("c_again")), "left_semi")
+    some = again.select(F.col(key).alias(c_again))
+    copies = docs.join(some, F.col(key).eqNullSafe(F.col(c_again)), "left_semi")
     held = free_name(docs, "simhash_text")
     copies = fingerprints(copies.withColumn(held, F.col(text)), shingle, held, fp)
-    copies = copies.join(chosen, (F.col(fp) == F.col("c_fp")) & F.col(key).eqNullSafe(F.col("c_key")))
-    copies = copies.withColumn(nth, F.row_number().over(Window.partitionBy("c_fp", "c_key").orderBy(F.lit(0)))).where(F.col(nth) == 1)
+    copies = copies.join(chosen, (F.col(fp) == F.col(c_fp)) & F.col(key).eqNullSafe(F.col(c_key)))
+    copies = copies.withColumn(nth, F.row_number().over(Window.partitionBy(c_fp, c_key).orderBy(F.lit(0)))).where(F.col(nth) == 1)
     return out.unionByName(copies.select(*docs.columns))
