@@ -138,13 +138,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeat: int =
         F.col("doc_id").alias("m_doc"), F.col("source").alias("m_source"), F.col("tie").alias("m_tie"), "m_copies"))
     tie = F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")
     same = F.col("d_doc").eqNullSafe(F.col("m_doc")) & F.col("d_source").eqNullSafe(F.col("m_source")) & (F.col("d_tie") == F.col("m_tie"))
-    hashed = [f"`{f.name}`" for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    hashed = [F.col("d_row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
     # the row as one value: no name of its columns meets a name of the plan
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d_row"), F.col("doc_id").alias("d_doc"),
-                       F.col("source").alias("d_source"), tie.alias("d_tie"), F.xxhash64(*hashed).alias("d_rest"))
+                       F.col("source").alias("d_source"), tie.alias("d_tie"))
     single = rows.join(plan.where("size(m_copies) = 1"), same).withColumn("n_copies", F.col("m_copies")[0])
     # rows alike: each takes one entry of their group's list
-    nth = Window.partitionBy("m_doc", "m_source", "m_tie").orderBy("d_rest")
+    nth = Window.partitionBy("m_doc", "m_source", "m_tie").orderBy(F.xxhash64(*hashed))  # made behind the join: both joins share one exchange of the texts
     alike = rows.join(plan.where("size(m_copies) > 1"), same).withColumn("n_copies", F.col("m_copies")[F.row_number().over(nth) - 1])
     out = single.unionByName(alike).where("n_copies > 0")
     return out.select(*[F.col("d_row")[c].alias(c) for c in docs.columns if c.lower() != "copy"],
