@@ -2,12 +2,12 @@
 
 Patterns (``assign``, ``access``, ``hex``) are matched leftmost and non-overlapping, each
 kind for itself; matches that are too short are dropped.  The method adds ``novel``
-spans: a string of at least ``min_candidate`` code characters with a letter and a digit,
-in a sensitive context (a word such as key, token or auth within ``context`` characters
-before it, on its line), whose marginal compressed size is high: the text around it is
-compressed with and without it, by a compressor primed with a dictionary of common
-identifiers, and the bytes it adds are divided by its length.  What the surrounding code
-or the dictionary repeats costs little; random strings cost most of their length.
+spans: a string of at least 20 code characters with a letter and a digit, in a sensitive
+context (a word such as key, token or auth in the text that it is measured against, on its
+line or on one before), or the body of a private key block, whose marginal compressed size
+is high: the text around it is compressed with and without it, by a compressor primed with a
+dictionary of common identifiers, and the bytes it adds are divided by its length.  What the
+surrounding code or the dictionary repeats costs little; random strings cost most of their length.
 
 Scanning is per document, without a shuffle.  Arrow's linear-time patterns select the
 texts worth a closer look, exactly: each is a necessary condition of its kind.
@@ -35,6 +35,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs: the same spans as dropping shorter runs afterwards
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# a key block's body, line breaks and headers included, up to the five dashes of its end or the text's
+BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----\s*((?:[A-Za-z0-9+/=:,.()\s]|-(?!----))+)(?<!\s)")
 SENSITIVE = re.compile(r"passw|pwd|secret|token|api.?key|private.?key|access.?key|credential|bearer|authorization|signature", re.I | re.A)
 
 # necessary conditions, in linear time (case folding there may select more, never less)
@@ -42,7 +44,7 @@ NEED = {
     "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]""",
     "access": r"AKIA[A-Z0-9]",
     "hex": r"[0-9a-f]{32}",
-    "novel": r"[A-Za-z0-9+/_=-]{20}",
+    "novel": r"[A-Za-z0-9+/_=-]{20}|PRIVATE KEY(?: BLOCK)?-----",
 }
 MIN_ACCESS, MIN_VALUE = 16, 8
 
@@ -90,20 +92,21 @@ def spans_of(text: str, novelty: Novelty, kinds: set[str], min_novelty: float, c
         out += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "novel" in kinds:
         base = sorted((a, b) for _, a, b in out)
-        at = reach = 0
-        for m in CANDIDATE.finditer(text):
-            a, b = m.span()
+        blocks = [(*m.span(1), True) for m in BLOCK.finditer(text)]
+        strings = [(*m.span(), False) for m in CANDIDATE.finditer(text)]
+        at = reach = done = 0
+        for a, b, block in sorted(blocks + strings, key=lambda x: (x[0], -x[1])):
             while at < len(base) and base[at][0] < b:
                 reach = max(reach, base[at][1])
                 at += 1
-            if reach > a:
+            if max(reach, done) > a:
                 continue
-            s = m.group()
+            s = text[a:b]
             if not (any(c.isdigit() for c in s) and any(c.isalpha() for c in s)):
                 continue
-            line = text[max(0, a - context):a].rpartition("\n")[2]
-            if SENSITIVE.search(line) and novelty(text, a, b) >= min_novelty:
+            if (block or SENSITIVE.search(text, max(0, a - context), a)) and novelty(text, a, b) >= min_novelty:
                 out.append(("novel", a, b))
+                done = b
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
@@ -123,7 +126,7 @@ def batch_spans(column: pa.Array, novelty: Novelty, min_novelty: float, context:
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", min_novelty: float = 0.7, context: int = 48) -> DataFrame:
+def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", min_novelty: float = 0.7, context: int = 400) -> DataFrame:
     """``key`` plus spans, an array of (kind, start, end), for every document."""
     inner = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("_t"))
 
@@ -154,7 +157,7 @@ def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, text: str = "text", count: str = "n_chars", min_novelty: float = 0.7, context: int = 48) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", count: str = "n_chars", min_novelty: float = 0.7, context: int = 400) -> DataFrame:
     """``docs`` with every secret replaced by a placeholder; no document goes."""
     counted = count in docs.columns
 

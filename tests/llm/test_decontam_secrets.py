@@ -132,7 +132,7 @@ def test_secret_spans(spark):
     for i, t in enumerate(SECRETS + noise):
         assert [s for s in rows[i] if s[0] != "novel"] == brute_base(t), t
     novel = {i: [SECRETS[i][a:b] for k, a, b in rows[i] if k == "novel"] for i in range(len(SECRETS))}
-    assert {i: s for i, s in novel.items() if s} == {8: [KEY]}
+    assert {i: s for i, s in novel.items() if s} == {8: [KEY], 10: [KEY]}
     out = secretscan.redact(docs)
     assert out.columns == docs.columns
     masked = {r.doc_id: r for r in out.collect()}
@@ -143,6 +143,24 @@ def test_secret_spans(spark):
     assert Counter(map(str, secretscan.redact(odd).collect())) == Counter(map(str, odd.collect()))
 
 
+def test_novel_strings_in_wider_context(spark):
+    import base64
+
+    rnd = random.Random(7)
+    body = base64.b64encode(rnd.randbytes(1190)).decode()
+    pem = "\n".join(body[i:i + 64] for i in range(0, len(body), 64))
+    value = "q7Zk29XvTn40LmWdR8cYb1Hs"
+    texts = [f"-----BEGIN RSA PRIVATE KEY-----\n{pem}\n-----END RSA PRIVATE KEY-----\nafter",
+             f"-----BEGIN PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n{pem}\n-----END PRIVATE KEY-----",
+             f"client_secret:\n  {value}\n", f"api key, as it was sent to us by the people who look after the machines: {value}",
+             f"a string without any reason to hide it: {value}", "-----BEGIN PRIVATE KEY-----" * 3000, f"x -----BEGIN PRIVATE KEY-----\n{pem}",
+             "secret " + "the_quick_brown_fox_jumps_over_the_lazy_dog_1 " * 20]
+    rows = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "novel"]
+            for r in secretscan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert rows[0] == [pem] and rows[6] == [pem] and rows[1][0].startswith("Proc-Type") and rows[1][0].endswith(pem)
+    assert rows[2] == rows[3] == [value] and not rows[4] and not rows[5] and not rows[7]
+
+
 def test_secret_query_digests(spark):
     import hashlib
     rows = op10_secret_scans(spark, DATA).collect()
