@@ -8,7 +8,10 @@ not known do not count); a rule whose sequence is part of another rule that fits
 subsumed by it.
 
 Licence texts are found as they are wrapped: sentences are read twice, once with a line
-break as an end of sentence and once without (only empty lines end one).
+break as an end of sentence and once without (an empty line ends one).  What stands before
+the first letter or digit of a line goes first, so a text fits the same rules inside
+comments; ``;``, a colon at the end of a line, and the number or letter of a list item end
+a sentence too.
 
 All of it is array expressions on one row: no shuffle, no Python.  The tables are fixed
 and small.  Every rule has a sentence with one of ``KEYWORDS`` (checked), so texts
@@ -72,6 +75,35 @@ SENTENCES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
                  "provided that the above copyright notice and this permission notice appear in all copies",
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE", "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE", "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
+    "version-3-2007": "Version 3, 29 June 2007", "version-3-agpl": "Version 3, 19 November 2007", "version-2-1991": "Version 2, June 1991",
+    "version-2.1-1999": "Version 2.1, February 1999",
+    "free-program": "This program is free software", "free-library": "This library is free software",
+    "gpl-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software "
+                 "Foundation",
+    "lgpl-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free "
+                  "Software Foundation",
+    "or-2-later": "either version 2 of the License, or (at your option) any later version",
+    "or-2.1-later": "either version 2.1 of the License, or (at your option) any later version",
+    "or-3-later": "either version 3 of the License, or (at your option) any later version",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "apache-name": "Apache License", "apache-date": "Version 2.0, January 2004",
+    "apache-terms": "TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "mpl-title": "Mozilla Public License Version 2.0",
+    "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/",
+    "bsl": "Distributed under the Boost Software License, Version 1.0",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+                  "and redistribute it freely, subject to the following restrictions",
+    "zlib-origin": "The origin of this software must not be misrepresented",
+    "isc-as-is": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+                 "WARRANTIES OF MERCHANTABILITY AND FITNESS",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or "
+                        "as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "cc-by-nc-sa-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nd-work": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "cc-by-nc-nd-work": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
     "spdx-mit": "SPDX-License-Identifier: MIT", "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
     "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-only",
 }
@@ -94,11 +126,38 @@ RULES = [  # rule, licence, sentences in order
     ("mpl-2.0", "MPL-2.0", ["mpl"]), ("unlicense", "Unlicense", ["unlicense"]),
     ("isc", "ISC", ["isc-grant"]), ("spdx-mit", "MIT", ["spdx-mit"]), ("spdx-apache-2.0", "Apache-2.0", ["spdx-apache"]),
     ("spdx-gpl-3.0", "GPL-3.0", ["spdx-gpl3"]),
+    ("gpl-3.0-title", "GPL-3.0", ["gpl-title", "version-3-2007"]), ("gpl-2.0-title", "GPL-2.0", ["gpl-title", "version-2-1991"]),
+    ("lgpl-3.0-title", "LGPL-3.0", ["lgpl-title", "version-3-2007"]), ("lgpl-2.1-title", "LGPL-2.1", ["lgpl-title", "version-2.1-1999"]),
+    ("agpl-3.0-title", "AGPL-3.0", ["agpl-title", "version-3-agpl"]),
+    ("gpl-2.0-free", "GPL-2.0-or-later", ["free-program", "gpl-terms", "or-2-later"]),
+    ("gpl-2.0-header", "GPL-2.0-or-later", ["free-program", "gpl-terms", "or-2-later", "gpl-hope", "gpl-received"]),
+    ("gpl-3.0-free-2", "GPL-3.0-or-later", ["free-program", "gpl-terms", "or-3-later"]),
+    ("lgpl-2.1-free", "LGPL-2.1-or-later", ["free-library", "lgpl-terms", "or-2.1-later"]),
+    ("lgpl-3.0-free", "LGPL-3.0-or-later", ["free-library", "lgpl-terms", "or-3-later"]),
+    ("agpl-3.0-free", "AGPL-3.0-or-later", ["agpl-free"]),
+    ("apache-2.0-text", "Apache-2.0", ["apache-name", "apache-date"]),
+    ("apache-2.0-terms", "Apache-2.0", ["apache-name", "apache-date", "apache-terms"]),
+    ("mpl-2.0-title", "MPL-2.0", ["mpl-title"]), ("mpl-2.0-header", "MPL-2.0", ["mpl", "mpl-copy"]),
+    ("bsl-1.0", "BSL-1.0", ["bsl"]), ("zlib", "Zlib", ["zlib-as-is", "zlib-grant", "zlib-origin"]),
+    ("isc-text", "ISC", ["isc-grant", "isc-as-is"]), ("unlicense-text", "Unlicense", ["unlicense", "unlicense-anyone"]),
+    ("cc-by-nc-sa-4.0-work", "CC-BY-NC-SA-4.0", ["cc-by-nc-sa-work"]), ("cc-by-nd-4.0-work", "CC-BY-ND-4.0", ["cc-by-nd-work"]),
+    ("cc-by-nc-nd-4.0-work", "CC-BY-NC-ND-4.0", ["cc-by-nc-nd-work"]),
 ]
+# licence names whose tag line is a rule
+TAGGED = """
+0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause BSL-1.0 CC-BY-4.0 CC-BY-NC-4.0
+CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later
+GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MPL-1.1 MPL-2.0 MS-PL MulanPSL-2.0 NCSA OFL-1.1
+PostgreSQL Python-2.0 Unlicense UPL-1.0 Vim WTFPL X11 Zlib ZPL-2.1
+""".split()
+SENTENCES |= {f"spdx:{name}": f"SPDX-License-Identifier: {name}" for name in TAGGED}
+RULES += [(f"spdx-{name.lower()}", name, [f"spdx:{name}"]) for name in TAGGED]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BY_LINE = r"[.!?]+[\x09-\x0D\x20]+|\n+"
-BY_PARAGRAPH = r"[.!?]+[\x09-\x0D\x20]+|\n[\x09-\x0D\x20]*\n"
+MARGIN = r"\n[^A-Za-z0-9\n]+"  # comment marks, list dots and blanks before a line's first letter or digit
+ITEM = r"[0-9a-z][.)][\x20\x09]+"  # the mark of a list item
+BY_LINE = rf"(?:[.!?;]+[\x09-\x0D\x20]+|\n+)(?:{ITEM})?"
+BY_PARAGRAPH = rf"(?:[.!?;]+[\x09-\x0D\x20]+|:[\x20\x09]*\n|\n[\x09-\x0D\x20]*\n)(?:{ITEM})?|\n{ITEM}"
 
 
 def normalised(sentence: str) -> str:
@@ -115,7 +174,8 @@ def tables(sentences: dict[str, str], rules: list) -> tuple[dict[str, int], list
 def _sequence(text: Column, end: str, ids: dict[str, int]) -> Column:
     """The identifiers of the known sentences, in order, as ",1,,2,"-like text: each with its own commas."""
     known = F.create_map(*[x for s, i in ids.items() for x in (F.lit(s), F.lit(str(i)))])
-    plain = F.transform(F.split(text, end), lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " ")))
+    bare = F.regexp_replace(F.concat(F.lit("\n"), text), MARGIN, "\n")
+    plain = F.transform(F.split(bare, end), lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " ")))
     found = F.filter(F.transform(plain, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
     return F.concat(F.lit(","), F.array_join(found, ","), F.lit(","))
 

@@ -144,7 +144,8 @@ def license_sql() -> str:
     def sequence(end: str) -> str:
         plain = ("trim(regexp_replace(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
                  "'[^a-z0-9]+', ' ', 'g'), ' ')")
-        return (f"',' || array_to_string(list_filter(list_transform(regexp_split_to_array(text, '{end}'), "
+        return (f"',' || array_to_string(list_filter(list_transform(regexp_split_to_array("
+                f"regexp_replace(chr(10) || text, '{L.MARGIN}', chr(10), 'g'), '{end}'), "
                 f"lambda s: map_extract(MAP {{{known}}}, {plain})[1]), lambda i: i IS NOT NULL), ',') || ','")
 
     return f"""
