@@ -20,6 +20,7 @@ from . import sqlparts as S
 from .alert_queries import REP_SQL, _rep
 from .parse_queries import B, OPTS
 from .registry import query
+from .robust_queries import record_lines
 from .stream_queries import BRUTE_ONLY, N_CHUNKS, chunk_of
 
 
@@ -59,6 +60,35 @@ def ingest_equal_lines(spark, sf_dir):
     return told.join(same, "event_type").select("event_type", "n_events", "n_ids", (F.col("ids") == F.col("ids_again")).alias("same_again"))
 
 
+@query("ingest_json_ranges", B + f"""
+SELECT shape, count(*) AS n_events, count(*) AS n_ids, {S.iso("min(ts)")} AS first_ts, {S.iso("max(ts)")} AS last_ts, TRUE AS as_lines
+FROM b, (SELECT unnest(['list', 'member']) AS shape)
+WHERE kind = 'purchase' AND event_id % 7 <> 0 AND event_id % 11 <> 0 GROUP BY shape""")
+def ingest_json_ranges(spark, sf_dir):
+    """Monitor files of both shapes, each cut into ranges of 64 KB: the same events as from the records as lines.  Elements
+    that are no records stand between them; a file has up to 200,000 records, so the number of files follows the rows."""
+    root = work_dir(spark, "json-ranges")
+    recs = record_lines(spark, sf_dir).filter(L._is_record(F.col("value"))).select("value")
+    n_files = max(1, recs.count() // 200_000)
+    recs = recs.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(n_files))).withColumn("place", F.lit(1))
+    lines = L.json_lines_records(recs.select(F.lit("lines").alias("file_path"), "value"), "netwatch", OPTS)
+    digest = F.sum(F.xxhash64("ts", "event_type", "src_ip", "raw", "extra").cast("decimal(38,0)"))
+    want = lines.agg(digest.alias("want"))
+    out = []
+    for shape, head, tail in (("list", '[7, "[{", ', "[{}], null]"), ("member", '{"alerts": 1, "of": [{"a": "\\""}], "alerts": [', '0], "rest": [{}]}')):
+        ends = spark.range(n_files).select(F.explode(F.array(F.struct(F.lit(head).alias("value"), F.col("id").alias("part"), F.lit(0).alias("place")), F.struct(
+            F.lit(tail).alias("value"), F.col("id").alias("part"), F.lit(2).alias("place")))).alias("x")).select("x.*")
+        rows = recs.withColumn("value", F.concat("value", F.lit(","))).unionByName(ends)
+        rows.repartition(n_files, "part").sortWithinPartitions("part", "place").select("value", "part").write.partitionBy("part").text(f"{root}/{shape}")
+        ev = L.read_json_alerts(spark, f"{root}/{shape}/*", "netwatch", OPTS, split_bytes=64 << 10)
+        got = ev.agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_ids"), iso_text(F.min("ts")).alias("first_ts"),
+                     iso_text(F.max("ts")).alias("last_ts"), digest.alias("got"))
+        out.append(got.select(F.lit(shape).alias("shape"), "*"))
+    both = reduce(lambda a, b: a.unionByName(b), out)
+    same = both.join(F.broadcast(want), both["got"] == want["want"], "left")
+    return same.select("shape", "n_events", "n_ids", "first_ts", "last_ts", F.col("want").isNotNull().alias("as_lines"))
+
+
 @query("json_kinds_accepted", B + """
 SELECT kind, FALSE AS accepted, CAST(0 AS BIGINT) AS n_events FROM b GROUP BY kind
 UNION ALL SELECT 'netwatch', TRUE, count(*) FROM b WHERE kind = 'purchase'

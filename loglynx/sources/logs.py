@@ -27,6 +27,7 @@ from ..functions.normalize import (
     strip,
     web_severity,
 )
+from .jsonfiles import SPLIT, json_records
 from .tail import placed_lines
 
 # ---------------------------------------------------------------------------
@@ -540,29 +541,16 @@ def _typed_records(recs: DataFrame, source: str, opts: ParseOptions | None) -> D
     return JSON_RECORD_MAPPERS[source](_once(good, r=F.from_json("rec", JSON_RECORD_SCHEMAS[source])), opts)
 
 
-def json_alert_texts(spark: SparkSession, paths) -> DataFrame:
-    """(file_path, rec): the text of every record of JSON alert files (all its fields, spacing not kept)."""
-    if isinstance(paths, str):
-        paths = [paths]
-    df = _lines_of(spark.read.text(list(paths), wholetext=True))
-    v = strip(F.col("value"))
-    listed = F.from_json(v, "array<string>")
-    wrapped = F.from_json(v, "alerts array<string>")["alerts"]
-    recs = F.when(v.startswith("["), listed).when(wrapped.isNotNull(), wrapped)
-    return df.select("file_path", F.explode(recs).alias("rec"))
-
-
-def read_json_alerts(spark: SparkSession, paths, source: str, opts: ParseOptions | None = None) -> DataFrame:
+def read_json_alerts(spark: SparkSession, paths, source: str, opts: ParseOptions | None = None, split_bytes: int = SPLIT) -> DataFrame:
     """JSON alert files: a top-level array of records or ``{"alerts": [...]}``.
 
     Unknown ``source`` raises ValueError; an object without ``alerts`` yields no
     rows, and records that are not objects yield no event (see ``rejects``).
-    One file is one JSON value and so one task: a limit of the format.  Bulk data
-    belongs in the line form (``json_lines_records``), which splits.
+    Files larger than ``split_bytes`` are read by several tasks (``jsonfiles``).
     """
     if source not in JSON_RECORD_SCHEMAS:
         raise ValueError(f"Unknown JSON source: {source}")
-    return _typed_records(json_alert_texts(spark, paths), source, opts)
+    return _typed_records(json_records(spark, paths, split_bytes), source, opts)
 
 
 def json_lines_records(lines: DataFrame, source: str, opts: ParseOptions | None = None) -> DataFrame:
