@@ -15,8 +15,9 @@ def survivors(spark):
     model, ranks = quality.vocabularies(rules)
     rows = []
     for r in documents(spark).collect():
-        got = brute_fertility(r.text, rules, model, ranks)
-        if got and not brute_quality(r.text)["base_failed"] and all(lo <= g <= hi for g, (lo, hi) in zip(got, rules.bands[r.lang])):
+        got, base = brute_fertility(r.text, rules, model, ranks), brute_quality(r.text)
+        give = [rules.slack / max(1, base["n_words"])] * 2 + [0, 0]
+        if got and not base["base_failed"] and all(lo - x <= g <= hi for g, (lo, hi), x in zip(got, rules.bands[r.lang], give)):
             rows.append(r)
     comp = brute_components([r.doc_id for r in rows], [brute_fingerprint(r.text) for r in rows])
     rows = [r for r, c in zip(rows, comp) if r.doc_id == c]
