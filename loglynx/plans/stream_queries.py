@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import correlate as C
 from ..schema import iso_text
 from ..session import work_dir
+from ..sinks import alert_log as AL
 from ..sinks import tables as TB
 from ..sources import logs as L
 from ..sources import render as RD
@@ -246,7 +247,7 @@ def stream_chain_alerts(spark, sf_dir):
     """Chains raised per micro-batch against the alert table (foreachBatch), with repeat
     suppression seeded from earlier batches — equal to the batch replay."""
     t = _alert_tables(spark, sf_dir)
-    ch = spark.read.parquet(f"{t}/chains")
+    ch = AL.read(spark, f"{t}/chains")
     return ch.select("rule_name", "group_value", iso_text("created_at").alias("created_at"), "description")
 
 

@@ -1,17 +1,8 @@
 """K3 / ST7: reputation as a log of runs that are merged by size.
 
 Every batch adds the aggregate of its own alerts (``tables.reputation_delta``: one row for each
-address that has any), split into buckets by the address.  A run is a bucket's rows of
-consecutive batches.  Before a batch adds its run, each bucket's newest runs are merged as long
-as the run before the merged ones is at most as large as they are: a row is rewritten about once
-for each doubling of what came after it, so what a batch writes follows its own alerts, not the
-table, and a bucket has a number of runs that grows with the logarithm of its size.  Readers
+address that has any), split into buckets by the address (the units of ``sinks.runs``).  Readers
 merge the runs of each address (sums, first and last times, first use of each tag).
-
-Layout: ``<root>/d=<batch>/bucket=<b>`` and ``<root>/m=<batch>/bucket=<b>/span=<first>-<last>``.  A
-folder counts once its write job has committed (``_SUCCESS``); a batch that is run again
-replaces its own two folders.  Merges take runs before the batch only, so they do not change
-by that; runs that a merge replaced stay for ``KEEP`` batches, for readers that have begun.
 """
 
 from __future__ import annotations
@@ -19,54 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import runs as RU
 from .tables import REP_SNAPSHOT
 
 BUCKETS = 16
-RATIO = 1  # a run is merged with newer ones that together have at least 1/RATIO of its bytes
-KEEP = 2
-
-
-def _fs(spark: SparkSession, root: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def _children(fs, path) -> dict:
-    return {s.getPath().getName(): s for s in fs.listStatus(path) if s.isDirectory()} if fs.exists(path) else {}
-
-
-def _runs(spark: SparkSession, root: str) -> dict[int, list[tuple[int, int, int, int, str]]]:
-    """{bucket: [(first batch, last batch, made by, bytes, path)]} of all committed runs.  The listing has
-    BUCKETS folders for each batch whose runs are still there."""
-    fs, top = _fs(spark, root)
-    new_path = spark._jvm.org.apache.hadoop.fs.Path
-    out: dict[int, list] = {}
-    for name, made in _children(fs, top).items():
-        kind, _, batch = name.partition("=")
-        if kind not in ("d", "m") or not fs.exists(new_path(made.getPath(), "_SUCCESS")):
-            continue
-        for bucket, folder in _children(fs, made.getPath()).items():
-            of = {f"span={batch}-{batch}": folder} if kind == "d" else _children(fs, folder.getPath())
-            for span, at in of.items():
-                first, last = map(int, span.removeprefix("span=").split("-"))
-                size = sum(s.getLen() for s in fs.listStatus(at.getPath()))
-                out.setdefault(int(bucket.removeprefix("bucket=")), []).append((first, last, int(batch), size, at.getPath().toString()))
-    return out
-
-
-def _current(runs: list, before: int) -> list:
-    """The runs that readers take, in order: those made before batch ``before`` that no other one contains."""
-    mine = sorted(r for r in runs if r[1] < before and r[2] < before)
-    return [r for r in mine if not any(o[0] <= r[0] and r[1] <= o[1] and (o[1] - o[0], o[2]) > (r[1] - r[0], r[2]) for o in mine)]
-
-
-def _to_merge(runs: list) -> list:
-    """The newest runs of a bucket that are due."""
-    n, size = 1, runs[-1][3] if runs else 0
-    while n < len(runs) and runs[-n - 1][3] <= RATIO * size:
-        size += runs[-n - 1][3]
-        n += 1
-    return runs[-n:] if n > 1 else []
 
 
 def _merged(rows: DataFrame, *keys: str) -> DataFrame:
@@ -79,34 +26,13 @@ def _merged(rows: DataFrame, *keys: str) -> DataFrame:
         F.max("last_seen").alias("last_seen"), each.alias("tag_firsts"))
 
 
-def _read(spark: SparkSession, root: str, runs: list) -> DataFrame:
-    return spark.read.schema(REP_SNAPSHOT).parquet(*[r[4] for r in runs])
-
-
 def add_batch(spark: SparkSession, root: str, delta: DataFrame, batch: int) -> None:
     """Add a batch's aggregate, after merging what is due of the batches before."""
-    all_runs = _runs(spark, root)
-    due = {b: some for b, runs in all_runs.items() if (some := _to_merge(_current(runs, batch)))}
     bucket = F.pmod(F.xxhash64("ip"), F.lit(BUCKETS))
-    if due:
-        span = F.element_at(F.create_map(*[x for b, some in due.items() for x in (F.lit(b), F.lit(f"{some[0][0]}-{some[-1][1]}"))]), bucket.cast("int"))
-        rows = _read(spark, root, [r for some in due.values() for r in some])
-        rows = _merged(rows.withColumn("bucket", bucket).withColumn("span", span), "bucket", "span")
-        rows.repartition("bucket").write.mode("overwrite").partitionBy("bucket", "span").parquet(f"{root}/m={batch}")
-    delta.select(*REP_SNAPSHOT.names, bucket.alias("bucket")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/d={batch}")
-    _drop_replaced(spark, all_runs, batch)
-
-
-def _drop_replaced(spark: SparkSession, all_runs: dict, batch: int) -> None:
-    """Remove runs that a merge of ``KEEP`` batches ago or more contains."""
-    for runs in all_runs.values():
-        for r in runs:
-            if any(o[0] <= r[0] and r[1] <= o[1] and o[1] - o[0] > r[1] - r[0] and o[2] <= batch - KEEP for o in runs):
-                fs, path = _fs(spark, r[4])
-                fs.delete(path, True)
+    RU.add_batch(spark, root, delta, batch, "bucket", bucket, REP_SNAPSHOT, lambda rows: _merged(rows, "bucket", "span"))
 
 
-def snapshot(spark: SparkSession, root: str, before: int = 1 << 62) -> DataFrame | None:
+def snapshot(spark: SparkSession, root: str, before: int = RU.ALL) -> DataFrame | None:
     """The merged rows of all batches before ``before``, one per address; none if there is no run."""
-    runs = [r for some in _runs(spark, root).values() for r in _current(some, before)]
-    return _merged(_read(spark, root, runs)) if runs else None
+    runs = [r for some in RU.runs_of(spark, root, "bucket").values() for r in RU.current(some, before)]
+    return _merged(RU.read_runs(spark, REP_SNAPSHOT, runs)) if runs else None

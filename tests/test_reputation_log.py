@@ -7,6 +7,7 @@ import shutil
 
 from loglynx.session import work_dir
 from loglynx.sinks import reputation_log as RL
+from loglynx.sinks import runs as RU
 from loglynx.sinks import tables as TB
 
 ROW = "ip string, score_sum long, alert_count long, first_seen timestamp, last_seen timestamp, tag_firsts array<struct<t:timestamp,r:int,tag:string>>"
@@ -51,18 +52,18 @@ def test_log_equals_one_aggregate(spark, monkeypatch):
     assert said(RL.snapshot(spark, root)) == want
     os.makedirs(f"{root}/m={batches + 3}/bucket=0/span=0-{batches}")
     assert said(RL.snapshot(spark, root)) == want
-    runs = RL._runs(spark, root)
-    assert set(runs) == {0, 1} and max(len(RL._current(r, 1 << 62)) for r in runs.values()) <= 6  # logarithmic
-    whole_table = sum(r[3] for some in runs.values() for r in RL._current(some, 1 << 62))
+    runs = RU.runs_of(spark, root, "bucket")
+    assert set(runs) == {"0", "1"} and max(len(RU.current(r, 1 << 62)) for r in runs.values()) <= 6  # logarithmic
+    whole_table = sum(r[3] for some in runs.values() for r in RU.current(some, 1 << 62))
     assert sorted(written)[batches // 2] < whole_table / 3  # most batches write little; a snapshot would write all of it each time
     shutil.rmtree(root)
 
 
 def test_runs_due():
     run = lambda i, size: (i, i, i, size, "")
-    assert RL._to_merge([]) == [] and RL._to_merge([run(0, 5)]) == []
-    assert RL._to_merge([run(0, 100), run(1, 10)]) == []
-    assert [r[0] for r in RL._to_merge([run(0, 100), run(1, 12), run(2, 10), run(3, 10)])] == [1, 2, 3]
-    assert [r[0] for r in RL._to_merge([run(0, 30), run(1, 12), run(2, 10), run(3, 10)])] == [0, 1, 2, 3]
+    assert RU.to_merge([]) == [] and RU.to_merge([run(0, 5)]) == []
+    assert RU.to_merge([run(0, 100), run(1, 10)]) == []
+    assert [r[0] for r in RU.to_merge([run(0, 100), run(1, 12), run(2, 10), run(3, 10)])] == [1, 2, 3]
+    assert [r[0] for r in RU.to_merge([run(0, 30), run(1, 12), run(2, 10), run(3, 10)])] == [0, 1, 2, 3]
     inner, outer = (2, 2, 2, 1, "a"), (1, 3, 9, 3, "b")
-    assert RL._current([inner, outer], 20) == [outer] and RL._current([inner, outer], 9) == [inner]
+    assert RU.current([inner, outer], 20) == [outer] and RU.current([inner, outer], 9) == [inner]

@@ -13,6 +13,7 @@ from loglynx.operators import correlate as C
 from loglynx.plans import serve as SV
 from loglynx.plans.correlation import correlate_point, correlate_replay
 from loglynx.session import work_dir
+from loglynx.sinks import alert_log as AL
 from loglynx.sinks import tables as TB
 from loglynx.sources import logs as L
 from loglynx.sources.catalogue import Catalogue
@@ -195,11 +196,11 @@ def test_alert_sink_with_empty_batches(spark):
     handle(some, 1)
     handle(some, 1)  # run again: replaces its own output
     handle(none, 2)
-    assert spark.read.parquet(f"{root}/alerts").count() == 1
+    assert AL.read(spark, f"{root}/alerts").count() == 1
     assert [(r.ip, r.score) for r in SS.latest_reputation(spark, root).collect()] == [("1.1.1.1", 15)]
     assert sorted(x for x in os.listdir(f"{root}/reputation".replace("file:", "")) if "=" in x) == ["d=0", "d=1", "d=2"]
     handle(none, 1)  # the batch now has no fire: its old rows must not stay
-    assert spark.read.parquet(f"{root}/alerts").count() == 0
+    assert AL.read(spark, f"{root}/alerts").count() == 0
     assert SS.latest_reputation(spark, root) is None
 
 
