@@ -165,12 +165,6 @@ def dedup_against_history(cands: DataFrame, history: DataFrame, as_of, max_windo
 # Replay mode
 # ---------------------------------------------------------------------------
 
-def _scaled_time(sec: Column, width: Column) -> Column:
-    """sec / W as an exact decimal, so a RANGE frame of 1 unit == W seconds for
-    every rule in one window spec (rules with different W share one pass)."""
-    return sec.cast("decimal(20,0)") / width.cast("decimal(20,0)")
-
-
 def per_second_counts(matched: DataFrame, n_cond_cols: int) -> DataFrame:
     """Map-side combined per (rule, key, second) counts, one column per condition."""
     sec = F.unix_seconds(F.col("ts"))
@@ -183,17 +177,23 @@ def per_second_counts(matched: DataFrame, n_cond_cols: int) -> DataFrame:
 def bucketed_lookback(per_sec: DataFrame, value_cols: list[str]) -> DataFrame:
     """Sum each value column over [sec - W, sec] per (rule, key).
 
-    Rows are placed in bucket floor(sec / W) and copied into the next bucket
-    as context; the window runs per (rule, key, bucket), so a key's history
-    is split by time over many tasks.  Only home rows are returned.
+    Rows are placed in bucket floor(sec / W) and copied into the next bucket, where they
+    leave the sum again once W seconds have passed; the window runs per (rule, key, bucket),
+    so a key's history is split by time over many tasks.  A sum is what the copies bring
+    along plus a running total of arrivals less departures: each row is met once, however
+    many lie in its look-back.  Only home rows are returned.
     """
     width = F.greatest(F.col("window_secs"), F.lit(1))
     b = F.floor(F.col("sec") / width)
     rep = per_sec.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
-    rep = rep.withColumn("pb", b + F.col("copy")).withColumn("x", _scaled_time(F.col("sec"), width))
-    w = Window.partitionBy("rule_idx", "key", "pb").orderBy("x").rangeBetween(-1, 0)
-    out = rep.select("*", *[F.sum(c).over(w).alias(f"w_{c}") for c in value_cols])
-    return out.filter(F.col("copy") == 0).drop("copy", "pb", "x")
+    rep = rep.withColumn("pb", b + F.col("copy")).withColumn("at", F.col("sec") + F.col("copy") * (width + 1))
+    w = Window.partitionBy("rule_idx", "key", "pb").orderBy("at")
+    so_far = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = w.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    home = F.col("copy") == 0
+    out = rep.select("*", *[(F.sum(F.when(home, F.col(c)).otherwise(-F.col(c))).over(so_far)
+                             + F.sum(F.when(home, 0).otherwise(F.col(c))).over(whole)).alias(f"w_{c}") for c in value_cols])
+    return out.filter(home).drop("copy", "pb", "at")
 
 
 def replay_candidates(events: DataFrame, cat: Catalogue, matched: DataFrame | None = None) -> DataFrame:
