@@ -7,6 +7,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -163,21 +164,54 @@ def stream_scanner_alerts(spark, sf_dir):
                     "event_count")
 
 
+def _measured(lines) -> tuple[int, str]:
+    """(lines, the watermark delay their chunks need): the running query may see one log file grown and another not
+    yet, so a line can come as late as its chunk is long; a day at least."""
+    chunks = lines.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), (F.max(F.unix_seconds("ts")) - F.min(F.unix_seconds("ts"))).alias("secs")).collect()
+    return sum(c.n for c in chunks), f"{max([86400, *(c.secs + 1 for c in chunks if c.secs is not None)])} seconds"
+
+
+def _log_of(value, logs: int):
+    """The log file of a line: an address's lines share one, which keeps them in order; lines without an address
+    are dealt by their text."""
+    address = F.regexp_extract(value, r"from (\S+)", 1)
+    return F.pmod(F.xxhash64(F.when(address == "", value).otherwise(address)), F.lit(logs))
+
+
 def _grow_logs(lines, folder: str, upto: int) -> None:
-    """The log files as they are once ``upto`` chunks were written: each task writes one file's lines in order
-    and puts it in place whole, so a file only ever grows, also if a task runs twice."""
+    """The log files as they are once ``upto`` chunks were written: a task gets its files' lines in order (Spark sorts
+    and spills them), writes them batch by batch and puts each file in place whole, so a file only ever grows, also if
+    a task runs twice.  Lines without a time belong to the last chunk and stay behind the others."""
     rows = lines.filter(F.col("chunk") <= upto).select("log", "ts", "value")
+    dealt = rows.repartition("log").sortWithinPartitions("log", F.asc_nulls_last("ts"), F.asc_nulls_last("value")).select("log", "value")
 
-    def write(key, table):
-        table = table.sort_by([("ts", "ascending"), ("value", "ascending")])
+    def write(batches):
         os.makedirs(folder, exist_ok=True)
-        path = f"{folder}/auth-{key[0].as_py()}.log"
-        new = f"{folder}/.{uuid.uuid4().hex}"
-        with open(new, "w", encoding="utf-8") as f:
-            f.writelines(f"{v}\n" for v in table.column("value").to_pylist())
-        os.replace(new, path)
-        return pa.table({"log": [key[0].as_py()], "n": [table.num_rows]})
-    rows.groupBy("log").applyInArrow(write, "log long, n long").write.format("noop").mode("overwrite").save()
+        log, f, n, new = None, None, 0, f"{folder}/.{uuid.uuid4().hex}"
+
+        def done():
+            f.close()
+            os.replace(new, f"{folder}/auth-{log}.log")
+            return pa.RecordBatch.from_arrays([pa.array([log], pa.int64()), pa.array([n], pa.int64())], names=["log", "n"])
+        try:
+            for batch in batches:
+                keys = batch.column(0).to_numpy()
+                at = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+                for a, b in zip(at[:-1], at[1:]):
+                    if a == b:
+                        continue
+                    if keys[a] != log:
+                        if f is not None:
+                            yield done()
+                        log, n, f = int(keys[a]), 0, open(new, "w", encoding="utf-8")
+                    f.writelines(f"{v}\n" for v in batch.column(1).slice(a, b - a).to_pylist())
+                    n += b - a
+            if f is not None:
+                yield done()
+        finally:
+            if f is not None:
+                f.close()
+    dealt.mapInArrow(write, "log long, n long").write.format("noop").mode("overwrite").save()
 
 
 @query("stream_tail_alerts", _fired_sql(BRUTE_ONLY))
@@ -185,12 +219,13 @@ def stream_tail_alerts(spark, sf_dir):
     """Growing log files followed by one running query with a processing-time trigger (``run_continuous``):
     every chunk is appended to the same files, by address, while the query runs."""
     lines = RD.auth_lines(spark, sf_dir).withColumn("chunk", chunk_of(F.col("ts")))
-    logs = max(1, lines.count() // 20_000)  # the number of log files follows the rows
-    lines = lines.withColumn("log", F.pmod(F.xxhash64(F.regexp_extract("value", r"from (\S+)", 1)), F.lit(logs)))
+    rows, delay = _measured(lines)
+    logs = max(1, rows // 20_000)  # the number of log files follows the rows
+    lines = lines.withColumn("log", _log_of(F.col("value"), logs))
     work = work_dir(spark, "stream-tail")
     folder = f"{work}/logs"
     events = L.parse_auth(TL.tail_lines(spark, f"{folder}/*.log", start="start"), OPTS)
-    q = SR.run_continuous(SR.exact_rule_alerts(events, BRUTE_ONLY, watermark="1 day"),
+    q = SR.run_continuous(SR.exact_rule_alerts(events, BRUTE_ONLY, watermark=delay),
                           lambda b, i: TB.write_batch(b, f"{work}/out", i), f"{work}/ckpt", trigger_secs=0)
     try:
         for i in range(N_CHUNKS):

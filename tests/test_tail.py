@@ -114,3 +114,53 @@ def test_equal_lines_are_events_of_their_own(spark):
     first, again = read(), read()
     assert sorted(first) == sorted(again) and len(first) == 5 and len(set(first)) == 5
     assert len(set(read(places=False))) == 2
+
+
+def test_growing_log_files(spark):
+    """The query's files: lines without an address are spread, an address stays in one file, files only grow."""
+    from loglynx.plans import stream_queries as Q
+
+    at = lambda day, i: f"2024-01-{day:02d} 00:{i // 60 % 60:02d}:{i % 60:02d}"
+    made = [(at(2 + 8 * (i % 2), i), f"{i:04d} sudo: u : COMMAND=/usr/bin/id" if i % 3 else f"{i:04d} Failed password for u from 10.0.0.{i % 5} port 1") for i in range(1200)]
+    made.append((None, "0000 no time"))
+    lines = spark.createDataFrame(made, "ts string, value string").withColumn("ts", F.col("ts").cast("timestamp"))
+    lines = lines.withColumn("chunk", Q.chunk_of(F.col("ts"))).withColumn("log", Q._log_of(F.col("value"), 6))
+    assert Q._measured(lines) == (1201, "86400 seconds")
+    folder = f"{work_dir(spark, 'grow-test')}/logs"
+    read = lambda: {f: open(f"{folder}/{f}").read() for f in os.listdir(folder)}
+    Q._grow_logs(lines, folder, 0)
+    first = read()
+    Q._grow_logs(lines, folder, 3)
+    last = read()
+    assert len(last) == 6 and all(last[f].startswith(text) for f, text in first.items())
+    assert sum(t.count("\n") for t in first.values()) == 600
+    assert sorted(line for t in last.values() for line in t.splitlines()) == sorted(v for _, v in made)
+    when = {v: t or "9" for t, v in made}
+    for t in last.values():
+        assert t.count("sudo") < 400  # of 800: not all in one file
+        assert t.splitlines() == sorted(t.splitlines(), key=lambda v: (when[v], v))
+    for i in range(5):
+        assert sum(f"from 10.0.0.{i} " in t for t in last.values()) == 1
+
+
+def test_watermark_covers_a_chunk(spark):
+    """A file that shows up after another with the same week loses no line to the watermark."""
+    from loglynx.plans import stream_queries as Q
+    from loglynx.sources import logs as L
+
+    work = work_dir(spark, "late-test")
+    os.makedirs(f"{work}/logs")
+    line = lambda day, i, ip: f"Jan {day:2d} 00:00:{i:02d} node1 sshd[{i}]: Failed password for u from {ip} port 40000 ssh2\n"
+    rows = spark.createDataFrame([("2024-01-01 00:00:00", 0), ("2024-01-07 00:00:02", 0)], "ts string, chunk int").withColumn("ts", F.col("ts").cast("timestamp"))
+    n, delay = Q._measured(rows)
+    assert (n, delay) == (2, f"{6 * 86400 + 3} seconds")
+    events = L.parse_auth(TL.tail_lines(spark, f"{work}/logs/*.log", start="start"), Q.OPTS)
+    q = SR.run_continuous(SR.exact_rule_alerts(events, Q.BRUTE_ONLY, watermark=delay),
+                          lambda b, i: b.write.mode("overwrite").parquet(f"{work}/out/batch={i}"), f"{work}/ckpt", trigger_secs=0)
+    try:
+        for name, text in (("a", "".join(line(d, i, "10.0.0.1") for d in (1, 7) for i in range(3))), ("b", "".join(line(1, i, "10.0.0.2") for i in range(3)))):
+            put(f"{work}/logs/{name}.log", text)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted((r.key, r.window_count) for r in spark.read.parquet(f"{work}/out").collect()) == [("10.0.0.1", 3), ("10.0.0.1", 3), ("10.0.0.2", 3)]
