@@ -172,3 +172,26 @@ def test_secret_query_digests(spark):
         assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for k, *_ in base) for x in ("assign", "access", "hex"))
         assert set(filter(None, said.split(","))) <= set(r.spans.split(","))
+
+
+def test_large_benchmarks_broadcast_hashes_only(spark, monkeypatch):
+    """Many items: only the hashes of their windows are sent to all tasks, and items of one text are matched once."""
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    few = [(i, t) for i, t in QUESTIONS if t]
+    many = few + [(i + 100, t) for i, t in few] + [(None, few[0][1]), (1, few[0][1])]
+    bench = spark.createDataFrame(many, "item_id long, text string")
+    rows = lambda df: Counter(tuple(r) for r in df.collect())
+    plain = rows(decontam.contaminated(docs, spark.createDataFrame(few, "item_id long, text string")))
+    again = Counter({tuple(i if c == 1 else x for c, x in enumerate(r)): n for r, n in plain.items()
+                     for i in [r[1], r[1] + 100] + [None] * (r[1] == 1)})
+    assert plain and rows(decontam.contaminated(docs, bench)) == again
+    made = [decontam.benchmark_windows(b, 8, text="text", names=decontam.INSIDE) for b in (bench, spark.createDataFrame(few, "item_id long, text string"))]
+    assert [(n, w.count()) for n, w in made[0]] == [(n, w.count()) for n, w in made[1]]
+    monkeypatch.setattr(decontam, "MAX_BROADCAST_WINDOWS", 0)
+    hashes = decontam.contaminated(docs, bench)
+    joins = [x for x in hashes._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftSemi" in x]
+    assert len(joins) == len(decontam.READINGS) * sum(not w.isEmpty() for _, w in made[0]) and all("strategy=broadcast" in x for x in joins)
+    assert rows(hashes) == again
+    monkeypatch.setattr(decontam, "MAX_BROADCAST_HASHES", 0)
+    monkeypatch.setattr(decontam, "MAX_BROADCAST_ITEMS", 0)
+    assert rows(decontam.contaminated(docs, bench)) == again
