@@ -122,3 +122,21 @@ def test_branching_is_what_the_docstring_says():
     one, two, second = chosenpath.slots_of(node, 80)
     assert (one != two).all() and abs(1 + second.mean() - 1.25) < 0.005
     assert chosenpath.least_equal(80) == 84 and DATA
+
+
+def test_group_larger_than_a_task_is_linked_through_its_origin(spark):
+    """Copies that are near the text they were made from, and mostly not near each other, in a group that is branched again."""
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choices(letters, k=5))
+    base = [word("abcdefgh") for _ in range(120)]
+    cut4 = lambda w: {tuple(w[i:i + 4]) for i in range(len(w) - 3)}
+    rows, own = [(0, " ".join(base))], cut4(base)
+    while len(rows) < 400:
+        copy = list(base)
+        for at in rng.sample(range(4, 116), 3):
+            copy[at] = word("qrstuvw")
+        if 100 * len(own & cut4(copy)) >= 80 * len(own | cut4(copy)):
+            rows.append((len(rows), " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = chosenpath.near_duplicates(docs, local=60, work=20 * 117 * 20).collect()
+    assert {r.component_id for r in found} == {0}
